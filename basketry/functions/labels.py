@@ -20,7 +20,7 @@ def pct_change(current, previous) -> Column:
 def pct_label(change, suffix: str = "%") -> Column:
     change = _col(change)
     sign = F.when(change >= 0, F.lit("+")).otherwise("")
-    return F.when(change.isNotNull(), F.format_string("%s%.1f" + suffix.replace("%", "%%"), sign, change))
+    return F.when(change.isNotNull(), F.format_string("%s%.1f" + suffix.replace("%", "%%"), sign, rounded(change, 1)))
 
 
 def trend_direction(current, average) -> Column:
@@ -38,7 +38,7 @@ def trend_arrow(current, average, zero_label: str = ZERO_LABEL) -> Column:
     change = pct_change(current, average)
     arrow = F.when(change > 0, UP).when(change < 0, DOWN).otherwise(FLAT)
     return F.when(change.isNull(), F.lit(f"{FLAT} {zero_label}")).otherwise(
-        F.format_string("%s (%.1f%%)", arrow, change))
+        F.format_string("%s (%.1f%%)", arrow, rounded(change, 1)))
 
 
 def sales_label(value, trend, decimals: int = 2) -> Column:

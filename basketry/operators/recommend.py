@@ -1,12 +1,10 @@
 """Facts behind the recommendations: reserved names, candidates, action bands, headline signal."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.clean import _col
-from basketry.operators.signals import group_figures, ranked_signals
+from basketry.operators.signals import _group, group_figures, ranked_signals
 from basketry.operators.trends import GROUP, KEY
-
-_GROUP = Window.partitionBy(*GROUP)
 RESERVED = 2
 MARGIN_CANDIDATES = 5
 GEM_CANDIDATES = 3
@@ -32,7 +30,7 @@ def margin_risk_candidates(rows: DataFrame) -> DataFrame:
                F.struct(F.lit(2).alias("list_no"), F.col("high_risk_items").alias("place")))))
     listed = ranked_signals(rows).where(F.col("sales_rank") > RESERVED).select(
         *KEY, "sales", "margin", "risk_score", F.explode(places).alias("at"))
-    position = F.row_number().over(_GROUP.orderBy("at.list_no", "at.place"))
+    position = F.row_number().over(_group().orderBy("at.list_no", "at.place"))
     return (
         listed.withColumn("position", position).where(F.col("position") <= MARGIN_CANDIDATES)
         .select(*KEY, "position", F.when(F.col("at.list_no") == 1, "low_margin").otherwise("high_risk").alias("source"),
@@ -42,10 +40,10 @@ def margin_risk_candidates(rows: DataFrame) -> DataFrame:
 def gem_candidates(rows: DataFrame) -> DataFrame:
     """Margin gems that are neither reserved nor the first margin-risk candidate."""
     ranked = ranked_signals(rows).withColumn("__place", _margin_place())
-    ranked = ranked.withColumn("__first", F.min("__place").over(_GROUP))
+    ranked = ranked.withColumn("__first", F.min("__place").over(_group()))
     first = F.coalesce(F.col("__place") == F.col("__first"), F.lit(False))
     gems = ranked.where(F.col("hidden_margin_gems").isNotNull() & (F.col("sales_rank") > RESERVED) & ~first)
-    position = F.row_number().over(_GROUP.orderBy("hidden_margin_gems"))
+    position = F.row_number().over(_group().orderBy("hidden_margin_gems"))
     return (
         gems.withColumn("position", position).where(F.col("position") <= GEM_CANDIDATES)
         .select(*KEY, "position", "sales", "qty", "margin"))
@@ -80,7 +78,7 @@ def headline_signal(rows: DataFrame, previous: DataFrame) -> DataFrame:
         for i, s in enumerate(HEADLINES, 1)]))
     listed = ranked_signals(rows, previous).select(
         *KEY, "sales_change", "qty_change", "margin_shift", "contrib", "margin", F.explode(found).alias("hit"))
-    first = F.row_number().over(_GROUP.orderBy("hit.priority"))
+    first = F.row_number().over(_group().orderBy("hit.priority"))
     return listed.withColumn("__n", first).where("__n = 1").select(
         *KEY, F.col("hit.priority").alias("priority"), F.col("hit.signal").alias("signal"),
         "sales_change", "qty_change", "margin_shift", "contrib", "margin")

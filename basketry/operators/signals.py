@@ -28,7 +28,9 @@ SIGNAL_SIZES = {
 }
 # End of fixed values.
 
-_GROUP = Window.partitionBy(*GROUP)
+def _group():
+    return Window.partitionBy(*GROUP)
+
 
 
 def _empty_previous(rows: DataFrame) -> DataFrame:
@@ -39,12 +41,12 @@ def _empty_previous(rows: DataFrame) -> DataFrame:
 def scored(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
     """Report rows with group figures: sales rank, total, mean and largest margin, median share, risk score."""
     numbers = with_changes(numeric_report(rows), previous if previous is not None else _empty_previous(rows))
-    by_sales = _GROUP.orderBy(F.col("sales").desc_nulls_last(), F.col("name").asc_nulls_last())
+    by_sales = _group().orderBy(F.col("sales").desc_nulls_last(), F.col("name").asc_nulls_last())
     grouped = numbers.withColumns({
         "sales_rank": F.row_number().over(by_sales),
-        "group_sales": F.sum(F.col("sales").cast("decimal(28,4)")).over(_GROUP).cast("double"),
-        "avg_margin": F.avg("margin").over(_GROUP), "max_margin": F.max("margin").over(_GROUP),
-        "median_contrib": F.percentile("contrib", F.lit(0.5)).over(_GROUP)})
+        "group_sales": F.sum(F.col("sales").cast("decimal(28,4)")).over(_group()).cast("double"),
+        "avg_margin": F.avg("margin").over(_group()), "max_margin": F.max("margin").over(_group()),
+        "median_contrib": F.percentile("contrib", F.lit(0.5)).over(_group())})
     weight = F.when(F.col("group_sales") > 0, F.col("sales") / F.col("group_sales")).otherwise(0.0)
     best = F.coalesce(F.col("max_margin"), F.lit(1.0))
     relative = F.when(best > 0, F.coalesce(F.col("margin"), F.lit(0.0)) / best).otherwise(0.0)
@@ -86,7 +88,7 @@ def ranked_signals(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
     positions = {}
     for signal, (condition, order) in _signal_rules().items():
         holds = F.coalesce(condition, F.lit(False))
-        place = F.row_number().over(_GROUP.orderBy(F.when(holds, 0).otherwise(1), *order))
+        place = F.row_number().over(_group().orderBy(F.when(holds, 0).otherwise(1), *order))
         size = SIGNAL_SIZES[signal]
         positions[signal] = F.when(holds if size is None else holds & (place <= size), place)
     return scored(rows, previous).withColumns(positions)

@@ -274,7 +274,7 @@ def consolidate_sales(sales: DataFrame, mapping: DataFrame, product: str = "prod
     """Sales and quantity by representative, largest first; names outside the map keep their own."""
     known = mapping.select(F.col("productName").alias(product), "representative")
     summed = (
-        sales.groupBy(product).agg(F.sum(value).alias("sales"), F.sum(quantity).alias("quantity_sold"))
+        sales.groupBy(product).agg(F.sum(F.col(value).cast("decimal(28,4)")).alias("sales"), F.sum(quantity).alias("quantity_sold"))
         .join(known, product, "left")
         .groupBy(F.coalesce("representative", product).alias("product_name"))
         .agg(F.sum("sales").alias("sales"), F.sum("quantity_sold").alias("quantity_sold")))

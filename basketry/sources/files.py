@@ -6,6 +6,8 @@ from basketry.functions.clean import zero_fill
 from basketry.operators.validate import require_columns
 from basketry.schemas import all_strings
 
+STORE_FILE = r"/(?:store_file=)?([^/=]+)\.csv(?:/part-[^/]+)?$"
+
 # Fixed value: what a strict base64 text looks like once white space is gone.
 BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 
@@ -60,13 +62,15 @@ def store_file_key(store) -> Column:
 def read_store_csv_dir(spark: SparkSession, path: str, columns, numeric_columns=(), stores: DataFrame = None) -> DataFrame:
     """All per-store CSV files of a folder in one scan, with storeName taken from the file name.
 
+    A store may also be a folder ``<store>.csv`` (or ``store_file=<store>.csv``) of part files.
     With ``stores`` (storeName), the file key is turned back into the real store name and files of
     unknown stores are left out; a store without a file has no rows.
     """
     columns = [c for c in columns if c != "storeName"]
     found = spark.read.option("header", True).schema(all_strings(columns)).option(
-        "enforceSchema", False).csv(path)
-    key = F.regexp_replace(F.expr("url_decode(replace(_metadata.file_name, '+', '%2B'))"), r"\.csv$", "")
+        "enforceSchema", False).option("recursiveFileLookup", True).csv(path)
+    file_path = F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")
+    key = F.regexp_extract(file_path, STORE_FILE, 1)
     typed = found.select(
         key.alias("store_key"),
         *[zero_fill(c).alias(c) if c in numeric_columns else F.col(c) for c in columns])
