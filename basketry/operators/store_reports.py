@@ -60,6 +60,21 @@ def month_lines(lines: DataFrame, months: DataFrame) -> DataFrame:
         "month_start", "period_start")
 
 
+def two_week_lines(lines: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Lines of the reported week and of the week before it, each with its own period_start."""
+    spans = weeks.select("storeName", F.date_sub("week_start", 7).alias("span_start"), "week_end")
+    bucket = week_bucket("orderDate", "week_end", 2)
+    return store_period_lines(lines, spans, "span_start", "week_end").withColumn(
+        "period_start", F.date_sub("week_end", 6 + 7 * bucket))
+
+
+def two_month_lines(lines: DataFrame, months: DataFrame) -> DataFrame:
+    """Lines of the reported month and of the month before it, each with its own period_start."""
+    spans = months.select("storeName", F.add_months("month_start", -1).alias("span_start"), "month_end")
+    return store_period_lines(lines, spans, "span_start", "month_end").withColumn(
+        "period_start", F.trunc("orderDate", "MM"))
+
+
 def _cost() -> Column:
     return F.coalesce(F.col("costPrice"), F.lit(0).cast("decimal(18,4)")) * F.col("quantity")
 

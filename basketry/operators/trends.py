@@ -19,24 +19,23 @@ def snapshot_rows(snapshot: DataFrame, dim: str, period_col: str) -> DataFrame:
         F.lit(dim).alias("dim"), "name", "total_sales", "quantity_sold", "profit_margin")
 
 
-def _previous(current: DataFrame, snapshot: DataFrame, next_period) -> DataFrame:
+def _previous(snapshot: DataFrame, next_period) -> DataFrame:
     zero = F.lit(0.0)
-    shifted = snapshot.select(
+    return snapshot.select(
         "storeName", next_period.alias("period_start"), "dim", "name",
         F.coalesce(F.col("total_sales").cast("double"), zero).alias("prev_sales"),
         F.coalesce(F.col("quantity_sold").cast("bigint"), F.lit(0)).alias("prev_qty"),
         F.coalesce(F.col("profit_margin").cast("double"), zero).alias("prev_margin"))
-    return shifted.join(current.select(*GROUP).distinct(), GROUP, "left_semi")
 
 
-def wow_previous(current: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Rows of the snapshot seven days before the current week, keyed by the current week."""
-    return _previous(current, snapshot, F.date_add("period_start", 7))
+def wow_previous(snapshot: DataFrame) -> DataFrame:
+    """Snapshot rows keyed by the week they are the previous week of, seven days later."""
+    return _previous(snapshot, F.date_add("period_start", 7))
 
 
-def mom_previous(current: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Rows of the snapshot one month before the current month, keyed by the current month."""
-    return _previous(current, snapshot, F.add_months("period_start", 1))
+def mom_previous(snapshot: DataFrame) -> DataFrame:
+    """Snapshot rows keyed by the month they are the previous month of."""
+    return _previous(snapshot, F.add_months("period_start", 1))
 
 
 def _value(rows: DataFrame, column: str):

@@ -27,7 +27,7 @@ def _payloads(spark, d):
     """Raw sales as plain CSV downloads, and again as base64 downloads, read as one landing."""
     path = scratch_path(spark, "payloads")
     _write_csv(star.raw_sales(spark, d), f"{path}/plain")
-    bodies = spark.read.option("wholetext", True).text(f"{path}/plain")
+    bodies = spark.read.text(f"{path}/plain", wholetext=True)
     bodies.select(F.base64(F.encode("value", "UTF-8"))).write.text(f"{path}/packed")
     rows = files.decode_report_payloads(spark, [f"{path}/plain", f"{path}/packed"], TEXT_COLUMNS)
     return rows.groupBy(*TEXT_COLUMNS).agg(F.count("*").alias("n"))

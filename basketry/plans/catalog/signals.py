@@ -6,7 +6,7 @@ from basketry.operators import recommend, signals
 from basketry.operators.trends import KEY
 from basketry.plans.catalog.registry import query
 from basketry.plans.catalog.sql_views import pct, rounded
-from basketry.plans.catalog.stores import CHANGES, WEEKLY, weekly_previous, weekly_rows
+from basketry.plans.catalog.stores import CHANGES, WEEKLY, weekly_rows
 
 _W = 'partition by "storeName", period_start, dim'
 _SCORED = f"""figures as (select *, row_number() over ({_W} order by sales desc nulls last, name) as sales_rank,
@@ -43,8 +43,17 @@ def _signal_sql(name):
  sales_change, qty_change, margin_shift, risk_score from scored where {condition} {limit}"""
 
 
+def current_rows(s, d):
+    return weekly_rows(s, d)[0]
+
+
+def _signal(s, d, name):
+    rows, previous = weekly_rows(s, d)
+    return signals.signal(rows, name, previous)
+
+
 for name in _RULES:
-    query(name, lambda s, d, name=name: signals.signal(weekly_rows(s, d), name, weekly_previous(s, d)), SCORED + "\n" + _signal_sql(name))
+    query(name, lambda s, d, name=name: _signal(s, d, name), SCORED + "\n" + _signal_sql(name))
 
 _FIGURES = f"""select "storeName", period_start, dim, {rounded("avg(case when qty > 0 then qty end)", 1)} as avg_qty_sold,
  {rounded("avg(margin)")} as avg_margin_pct,
@@ -54,7 +63,7 @@ _FIGURES = f"""select "storeName", period_start, dim, {rounded("avg(case when qt
 
 
 def _pick(*columns):
-    return lambda s, d: signals.group_figures(weekly_rows(s, d)).select("storeName", "period_start", "dim", *columns)
+    return lambda s, d: signals.group_figures(current_rows(s, d)).select("storeName", "period_start", "dim", *columns)
 
 
 query("avg_qty_sold", _pick("avg_qty_sold"), SCORED + f'\nselect "storeName", period_start, dim, avg_qty_sold from ({_FIGURES})')
@@ -62,13 +71,13 @@ query("avg_margin_pct", _pick("avg_margin_pct"), SCORED + f'\nselect "storeName"
 query("revenue_concentration", _pick("top1_revenue_share_pct", "top3_revenue_share_pct", "concentration_flag"),
       SCORED + f"""\nselect "storeName", period_start, dim, top1_revenue_share_pct, top3_revenue_share_pct,
  top3_revenue_share_pct > 50 as concentration_flag from ({_FIGURES})""")
-query("risk_score", lambda s, d: signals.scored(weekly_rows(s, d)).select(*KEY, "sales", "margin", "risk_score"),
+query("risk_score", lambda s, d: signals.scored(current_rows(s, d)).select(*KEY, "sales", "margin", "risk_score"),
       SCORED + f"\nselect {_KEY}, sales, margin, risk_score from scored")
-query("intelligence_summary", lambda s, d: signals.intelligence_summary(weekly_rows(s, d), weekly_previous(s, d)))
+query("intelligence_summary", lambda s, d: signals.intelligence_summary(*weekly_rows(s, d)))
 
 # Recommendation facts.
 
-query("reserved_top2", lambda s, d: recommend.reserved_top2(weekly_rows(s, d)),
+query("reserved_top2", lambda s, d: recommend.reserved_top2(current_rows(s, d)),
       SCORED + f"\nselect {_KEY}, sales_rank, sales, margin from scored where sales_rank <= 2")
 _LISTED = ("listed as (select *, 1 as list_no, position as place from (" + _signal_sql("low_margin_items")
            + ") union all select *, 2, position from (" + _signal_sql("high_risk_items") + ")), "
@@ -76,38 +85,38 @@ _LISTED = ("listed as (select *, 1 as list_no, position as place from (" + _sign
            f"candidates as (select l.* replace (row_number() over ({_W} order by list_no, place) as position) from listed l "
            'where not exists (select 1 from reserved r where r."storeName" = l."storeName" and r.period_start = l.period_start '
            "and r.dim = l.dim and r.name is not distinct from l.name))")
-query("margin_risk_candidates", lambda s, d: recommend.margin_risk_candidates(weekly_rows(s, d)),
+query("margin_risk_candidates", lambda s, d: recommend.margin_risk_candidates(current_rows(s, d)),
       SCORED + ",\n" + _LISTED + f"""\nselect {_KEY}, position, case list_no when 1 then 'low_margin' else 'high_risk' end as source,
  sales, margin, risk_score from candidates where position <= 5""")
-query("gem_candidates", lambda s, d: recommend.gem_candidates(weekly_rows(s, d)),
+query("gem_candidates", lambda s, d: recommend.gem_candidates(current_rows(s, d)),
       SCORED + ",\n" + _LISTED + ",\n gems as (" + _signal_sql("hidden_margin_gems") + f""")
  select {_KEY}, row_number() over ({_W} order by position) as position, sales, qty, margin from gems g
  where not exists (select 1 from candidates c where c.position = 1 and c."storeName" = g."storeName" and c.period_start = g.period_start
  and c.dim = g.dim and c.name is not distinct from g.name) qualify position <= 3""".replace("order by position) as position", "order by g.position) as position"))
-query("margin_action_band", lambda s, d: signals.scored(weekly_rows(s, d)).select(
+query("margin_action_band", lambda s, d: signals.scored(current_rows(s, d)).select(
     *KEY, "margin", recommend.margin_action_band("margin", True).alias("leader_band"),
     recommend.margin_action_band("margin", False).alias("risk_band")),
       SCORED + f"""\nselect {_KEY}, margin, case when margin > 30 then 'over_30' when margin between 15 and 30 then '15_to_30'
  when margin < 15 then 'under_15' end as leader_band, case when margin < 0 then 'negative' when margin < 5 then '0_to_5'
  when margin < 10 then '5_to_10' when margin < 15 then '10_to_15' end as risk_band from scored""")
-query("quantity_action_band", lambda s, d: signals.scored(weekly_rows(s, d)).select(
+query("quantity_action_band", lambda s, d: signals.scored(current_rows(s, d)).select(
     *KEY, "qty", F.when(F.col("dim") == "productName", recommend.quantity_action_band("qty", True)).otherwise(
         recommend.quantity_action_band("qty")).alias("band")),
       SCORED + f"""\nselect {_KEY}, qty, case when dim = 'productName' and qty = 1 then 'single'
  when dim = 'productName' and qty <= 5 then '2_to_5' when qty <= 5 then 'up_to_5' when qty <= 15 then '6_to_15'
  when qty <= 40 then '16_to_40' when qty <= 80 then '41_to_80' end as band from scored""")
-query("contrib_action_band", lambda s, d: signals.scored(weekly_rows(s, d)).where("dim = 'categoryName'").select(
+query("contrib_action_band", lambda s, d: signals.scored(current_rows(s, d)).where("dim = 'categoryName'").select(
     *KEY, "contrib", recommend.contrib_action_band("contrib").alias("band")),
       SCORED + f"""\nselect {_KEY}, contrib, case when contrib > 20 then 'over_20' when contrib >= 10 then '10_to_20'
  when contrib < 10 then 'under_10' end as band from scored where dim = 'categoryName'""")
 _HITS = " union all ".join(
     f"select *, {i} as priority, '{name}' as signal from ({_signal_sql(name)}) where position = 1"
     for i, name in enumerate(recommend.HEADLINES, 1))
-query("headline_signal", lambda s, d: recommend.headline_signal(weekly_rows(s, d), weekly_previous(s, d)),
+query("headline_signal", lambda s, d: recommend.headline_signal(*weekly_rows(s, d)),
       SCORED + f""",\n hits as ({_HITS})
  select {_KEY}, priority, signal, sales_change, qty_change, margin_shift, contrib, margin from hits
  qualify row_number() over ({_W} order by priority) = 1""")
-query("concentration_label", lambda s, d: recommend.concentration_label(weekly_rows(s, d)),
+query("concentration_label", lambda s, d: recommend.concentration_label(current_rows(s, d)),
       SCORED + f"""\nselect "storeName", period_start, dim, top3_revenue_share_pct, top3_revenue_share_pct > 50 as concentration_flag,
  case when top3_revenue_share_pct > 50 then printf('Top 3 = %.1f%% of revenue — over-concentration', top3_revenue_share_pct)
  else printf('Healthy spread — top 3 = %.1f%% of revenue', top3_revenue_share_pct) end as label from ({_FIGURES})""")

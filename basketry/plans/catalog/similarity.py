@@ -113,9 +113,9 @@ def _consolidated(s, d):
 
 
 query("consolidate_sales", _consolidated, _MAP + ",\n" + PRODUCT_SALES + """
- select row_number() over (order by sum(sales) desc, coalesce(representative, productname)) as s_no,
- coalesce(representative, productname) as product_name, cast(sum(sales) as double) as sales, cast(sum(quantitysold) as bigint) as quantity_sold
- from product_sales left join product_map on "productName" = productname group by coalesce(representative, productname)""")
+ select row_number() over (order by sum(sales) desc, coalesce(representative, product_sales.productname)) as s_no,
+ coalesce(representative, product_sales.productname) as product_name, cast(sum(sales) as double) as sales, cast(sum(quantitysold) as bigint) as quantity_sold
+ from product_sales left join product_map on product_map."productName" = product_sales.productname group by coalesce(representative, product_sales.productname)""")
 query("analyze_groups", lambda s, d: similarity.analyze_groups(*_mapping(s, d)), _full(LOOSE) + """
  select group_id, representative, reps.group_size, 0 as part_no, string_agg("productName", ' | ' order by "productName") as products_in_group
  from members join reps using (group_id) group by 1, 2, 3""")
@@ -146,8 +146,8 @@ query("consolidation_impact", _impact, with_(BILLING, TEXTS) + f"""select n as o
 query("consolidated_product_daily", lambda s, d: similarity.consolidated_product_daily(
     aggregates.product_sales(product_lines(s, d)), similarity.product_map(*_mapping(s, d)), _end(s, d)),
       _MAP + f""",\n daily as ({_PRODUCT_DAILY}),
- merged as (select coalesce(representative, productname) as product_name, cast(sum(cast(sales_today as decimal(28,4))) as double) as sales,
- sum(quantity_today) as quantity_sold from daily left join product_map on "productName" = productname group by 1)
+ merged as (select coalesce(representative, daily.productname) as product_name, cast(sum(cast(sales_today as decimal(28,4))) as double) as sales,
+ sum(quantity_today) as quantity_sold from daily left join product_map on product_map."productName" = daily.productname group by 1)
  select row_number() over (order by sales desc, product_name) as s_no, * from merged""")
 
 

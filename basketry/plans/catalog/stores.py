@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.operators import store_reports as sr, trends
+from basketry.operators.staging import stage
 from basketry.plans.catalog.registry import query
 from basketry.plans.catalog.sql_views import BILLING, STOCK, pct, ratio, rounded, with_
 from basketry.sources import star
@@ -11,28 +12,34 @@ _LINE = ["storeName", "orderDate", "totalProductPrice", "quantity", "costPrice"]
 DIMS = {"brandName": 50, "categoryName": 50, "productName": 100}
 
 
-def weeks(s, d, back=0):
-    return sr.store_weeks(star.billing(s, d, ["storeName", "orderDate"]), back)
+def weeks(s, d):
+    """The period table is tiny and used several times per report, so it is worked out once."""
+    return stage(sr.store_weeks(star.billing(s, d, ["storeName", "orderDate"])))
 
 
-def months(s, d, back=0):
-    return sr.store_report_months(star.billing(s, d, ["storeName", "orderDate"]), star.AS_OF, back)
+def months(s, d):
+    return stage(sr.store_report_months(star.billing(s, d, ["storeName", "orderDate"]), star.AS_OF))
 
 
-def weekly_rows(s, d, back=0) -> DataFrame:
-    return sr.dimension_reports(sr.week_lines(star.billing(s, d, [*_LINE, *DIMS]), weeks(s, d, back)))
+def _split(both: DataFrame, periods: DataFrame, start: str) -> tuple[DataFrame, DataFrame]:
+    current = periods.select("storeName", F.col(start).alias("period_start"))
+    keys = ["storeName", "period_start"]
+    return both.join(current, keys, "left_semi"), both.join(current, keys, "left_anti")
 
 
-def monthly_rows(s, d, back=0) -> DataFrame:
-    return sr.dimension_reports(sr.month_lines(star.billing(s, d, [*_LINE, *DIMS]), months(s, d, back)))
+def weekly_rows(s, d) -> tuple[DataFrame, DataFrame]:
+    """Report rows of each store's week and, from the same scan, the rows of the week before."""
+    found = weeks(s, d)
+    both = stage(sr.dimension_reports(sr.two_week_lines(star.billing(s, d, [*_LINE, *DIMS]), found)))
+    rows, before = _split(both, found, "week_start")
+    return rows, trends.wow_previous(before)
 
 
-def weekly_previous(s, d) -> DataFrame:
-    return trends.wow_previous(weekly_rows(s, d), weekly_rows(s, d, 1))
-
-
-def monthly_previous(s, d) -> DataFrame:
-    return trends.mom_previous(monthly_rows(s, d), monthly_rows(s, d, 1))
+def monthly_rows(s, d) -> tuple[DataFrame, DataFrame]:
+    found = months(s, d)
+    both = stage(sr.dimension_reports(sr.two_month_lines(star.billing(s, d, [*_LINE, *DIMS]), found)))
+    rows, before = _split(both, found, "month_start")
+    return rows, trends.mom_previous(before)
 
 
 WEEKS = """weeks as (select "storeName", max("orderDate") - 6 as period_start, max("orderDate") as period_end from billing
@@ -134,12 +141,12 @@ CHANGES = f"""changes as (select r."storeName", r.period_start, r.dim, r.name, r
  {rounded(pct("r.total_sales", "prev_sales"), 1)} as sales_change, {rounded(pct("r.quantity_sold", "prev_qty"), 1)} as qty_change,
  {rounded("r.profit_margin - prev_margin", 1)} as margin_shift
  from rows r left join previous p on r."storeName" = p."storeName" and r.period_start = p.period_start and r.dim = p.dim and r.name = p.name)"""
-query("wow_previous", weekly_previous, WEEKLY + "\nselect * from previous")
-query("mom_previous", monthly_previous, MONTHLY + "\nselect * from previous")
-query("enrich_with_trends", lambda s, d: trends.enrich_with_trends(weekly_rows(s, d), weekly_previous(s, d)),
+query("wow_previous", lambda s, d: weekly_rows(s, d)[1], WEEKLY + "\nselect * from previous")
+query("mom_previous", lambda s, d: monthly_rows(s, d)[1], MONTHLY + "\nselect * from previous")
+query("enrich_with_trends", lambda s, d: trends.enrich_with_trends(*weekly_rows(s, d)),
       WEEKLY + ",\n" + CHANGES + "\nselect * from changes")
-query("enrich_with_monthly_trends", lambda s, d: trends.enrich_with_trends(monthly_rows(s, d), monthly_previous(s, d)),
+query("enrich_with_monthly_trends", lambda s, d: trends.enrich_with_trends(*monthly_rows(s, d)),
       MONTHLY + ",\n" + CHANGES + "\nselect * from changes")
-query("has_trend_data", lambda s, d: trends.has_trend_data(weekly_rows(s, d), weekly_previous(s, d)),
+query("has_trend_data", lambda s, d: trends.has_trend_data(*weekly_rows(s, d)),
       WEEKLY + """\nselect distinct "storeName", period_start, dim, exists (select 1 from previous p where p."storeName" = r."storeName"
  and p.period_start = r.period_start and p.dim = r.dim) as has_trend_data from rows r""")

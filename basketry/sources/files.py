@@ -35,22 +35,21 @@ def decode_report_payloads(spark: SparkSession, path, columns, max_columns: int
     header, in any order; columns it lacks are null. Plain CSV of any size goes through
     read_sales_csv, which splits files.
     """
-    bodies = spark.read.option("wholetext", True).text(path).select(
+    bodies = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("source_file"), _payload_text(F.col("value")).alias("body"))
-    lines = bodies.select(
-        "source_file", F.split(F.regexp_replace("body", r"^﻿", ""), r"\r?\n").alias("lines"))
-    rows = lines.select(
-        "source_file", F.element_at("lines", 1).alias("header"),
-        F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
-    ).where(F.trim("line") != "")
     wide = ", ".join(f"c{i} string" for i in range(max_columns))
-    fields = lambda c: F.array(*[F.from_csv(c, F.lit(wide))[f"c{i}"] for i in range(max_columns)])
-    names = F.filter(fields(F.col("header")), lambda x: x.isNotNull())
-    cells = rows.select(
-        "source_file", names.alias("names"), fields(F.col("line")).alias("values"))
-    record = F.map_from_arrays("names", F.slice("values", F.lit(1), F.size("names")))
-    return cells.select("source_file", record.alias("record")).select(
-        "source_file", *[F.col("record")[c].alias(c) for c in columns])
+    cells = lambda record: F.array(*[F.col(record)[f"c{i}"] for i in range(max_columns)])
+    lines = bodies.select("source_file", F.split(F.regexp_replace("body", "^\ufeff", ""), r"\r?\n").alias("lines"))
+    # The header is parsed once per download; each row then only looks up positions.
+    headed = lines.withColumn("header", F.from_csv(F.element_at("lines", 1), F.lit(wide))).select(
+        "source_file", cells("header").alias("names"),
+        F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))).alias("lines"))
+    placed = headed.select(
+        "source_file", *[F.array_position("names", c).cast("int").alias(f"at_{i}") for i, c in enumerate(columns)],
+        F.explode("lines").alias("line")).where(F.trim("line") != "")
+    parsed = placed.withColumn("record", F.from_csv("line", F.lit(wide))).withColumn("cells", cells("record"))
+    return parsed.select("source_file", *[
+        F.get("cells", F.col(f"at_{i}") - 1).alias(c) for i, c in enumerate(columns)])
 
 
 def store_file_key(store) -> Column:
