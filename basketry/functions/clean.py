@@ -14,6 +14,7 @@ TEXT_NULLS = ["nan", "NaN", "NaT", "<NA>"]
 # End of fixed values.
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+WHOLE = r"^\s*[+-]?\d+\s*$"
 BLANK = r"(?U)^\s*$"
 
 
@@ -51,7 +52,7 @@ def coerce_double(c) -> Column:
 def coerce_bigint(c) -> Column:
     """Number in text truncated to a whole number; whole numbers never pass through double."""
     c = _col(c).cast("string")
-    return F.coalesce(c.try_cast("bigint"), coerce_double(c).try_cast("bigint"))
+    return F.when(c.rlike(WHOLE), c.try_cast("bigint")).otherwise(coerce_double(c).try_cast("bigint"))
 
 
 def coerce_int(c) -> Column:

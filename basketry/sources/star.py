@@ -15,6 +15,8 @@ DAYS = 121
 LAST_DAY = dt.date(2024, 4, 30)
 AS_OF = dt.date(2024, 5, 1)
 
+ONE_SPLIT = 128 * 1024 * 1024
+
 BILLING_COLUMNS = [
     "invoice", "orderDate", "productId", "productName", "quantity", "totalProductPrice",
     "costPrice", "brandName", "categoryName", "subCategoryOf", "storeName",
@@ -27,6 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that is smaller than one input split, which a single task would otherwise read.
+
+    Above that size the scan has many tasks already, and nothing is shuffled here.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, key) if size < ONE_SPLIT and tasks > 1 else df
+
+
 def _folded_date() -> Column:
     return F.expr("date_add(date'2024-01-01', cast(datediff(cast(o_orderdate as date), "
                   f"date'1995-01-01') % {DAYS} as int))")
@@ -49,7 +61,7 @@ def _dated_lines(spark, sf_dir, with_store: bool, with_part: bool) -> DataFrame:
             table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
         ).select(F.col("c_custkey").alias("o_custkey"), "n_nationkey", "n_name")
         orders = orders.join(stores, "o_custkey", "left")
-    lines = table(spark, sf_dir, "lineitem").join(orders, "l_orderkey", "left")
+    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(orders, "l_orderkey", "left")
     if with_part:
         part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
         lines = lines.join(part, "l_partkey", "left")
@@ -107,7 +119,7 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per store and product. Each product is repeated once per nation key, then named."""
     nations = table(spark, sf_dir, "nation")
     suppliers = table(spark, sf_dir, "supplier")
-    part = table(spark, sf_dir, "part").select(
+    part = _spread(table(spark, sf_dir, "part"), "p_partkey").select(
         "*",
         nations.agg(F.max("n_nationkey")).scalar().alias("last_nation"),
         suppliers.agg(F.count("*")).scalar().alias("n_suppliers"),
