@@ -19,14 +19,13 @@ def _day_against_previous(sales: DataFrame, name: str, measures: dict[str, str],
     end = last_date(sales, "orderdate").scalar() if end is None else end
     window = sales.where((F.col("orderdate") >= F.date_sub(end, days)) & (F.col("orderdate") <= end))
     window = window.withColumn("__today", F.col("orderdate") == end)
-    by_name = Window.partitionBy(name, F.col(name).isNull() & F.col("__today"))
-    previous = ~F.col("__today")
-    for source, target in measures.items():
-        total = F.sum(F.when(previous, F.col(source))).over(by_name)
-        count = F.count(F.when(previous, F.col(source))).over(by_name)
-        window = window.withColumn(f"__avg_{target}", ratio(total, count))
+    window = window.withColumn("__null_today", F.col(name).isNull() & F.col("__today"))
+    by_name = Window.partitionBy(name, "__null_today")
+    before = lambda c: F.when(~F.col("__today"), F.col(c))
+    sums = {f"__sum_{t}": F.sum(before(s)).over(by_name) for s, t in measures.items()}
+    counts = {f"__count_{t}": F.count(before(s)).over(by_name) for s, t in measures.items()}
     rows = window.withColumns({
-        "__has_today": F.max("__today").over(by_name),
+        **sums, **counts, "__has_today": F.max("__today").over(by_name),
         "__first": F.row_number().over(by_name.orderBy("orderdate")) == 1})
     rows = rows.where(F.col("__today") | (~F.col("__has_today") & F.col("__first")))
     zero = F.lit(0.0)
@@ -34,7 +33,7 @@ def _day_against_previous(sales: DataFrame, name: str, measures: dict[str, str],
         name,
         *[F.when(F.col("__today"), F.coalesce(F.col(s).cast("double"), zero)).otherwise(zero).alias(f"{t}_today")
           for s, t in measures.items()],
-        *[F.coalesce(F.col(f"__avg_{t}"), zero).alias(f"avg_{t}_previous_days") for t in measures.values()],
+        *[F.coalesce(ratio(f"__sum_{t}", f"__count_{t}"), zero).alias(f"avg_{t}_previous_days") for t in measures.values()],
     ).distinct()
 
 

@@ -18,8 +18,8 @@ def aggregate_tables(lines: DataFrame) -> dict[str, DataFrame]:
 def load_sales(spark: SparkSession, raw: DataFrame, root: str, excluded_store: str = None) -> DataFrame:
     """Validate, type and load ``raw`` under ``root``; returns the row counts per table for the loaded days.
 
-    The raw text is read once for the fact table. The aggregates read the loaded days back from it, which
-    prunes all other partitions. Repeating a load gives the same tables.
+    The raw text is read for its dates and for the fact table. The aggregates read only the loaded days
+    back from the fact table. Repeating a load gives the same tables.
     """
     validate.require_columns(raw, REQUIRED_SALES_COLUMNS)
     fact_path = f"{root.rstrip('/')}/billing_data"

@@ -7,6 +7,7 @@ moved at commit, so a failed or repeated run leaves each day either old or new,
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.operators.aggregates import dates_in_load
+from basketry.operators.staging import stage
 from basketry.operators.validate import SalesDataError
 
 MAX_DATES_PER_LOAD = 100_000
@@ -54,9 +55,11 @@ def overwrite_aggregates(aggregates: dict[str, DataFrame], root: str, dates: Dat
     """Replace the loaded dates in every aggregate table.
 
     Dynamic overwrite keeps a partition that gets no new rows, so after the write the loaded dates
-    that an aggregate no longer has are dropped.
+    that an aggregate no longer has are dropped. Each aggregate is staged, so that the lines behind it are
+    read once for both steps.
     """
     for name, df in aggregates.items():
+        df = stage(df)
         path = f"{root.rstrip('/')}/{name}"
         overwrite_dates(df, path, date_col)
         gone = dates.toDF(date_col).join(df.select(date_col).distinct(), date_col, "left_anti")

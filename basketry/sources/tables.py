@@ -9,6 +9,10 @@ from basketry.functions.clean import iso_date_string, last_time_token
 from basketry.schemas import SALES_COLUMNS
 
 
+MAX_BROADCAST_PERIODS = 500_000
+PERIOD_SALTS = 64
+
+
 def read_table(spark: SparkSession, source, columns=None, condition=None) -> DataFrame:
     """Stored table (a path, or a DataFrame already read) with projection and filter."""
     df = spark.read.parquet(source) if isinstance(source, str) else source
@@ -34,15 +38,20 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, date_
 def store_period_lines(lines: DataFrame, periods: DataFrame, start_col: str, end_col: str) -> DataFrame:
     """Lines of every store inside that store's own period.
 
-    The earliest start of all periods is a scalar subquery, so a table partitioned by orderDate
-    skips the history that no store needs.
+    ``periods`` has one row per store and should be staged, since it is used three times. Its earliest
+    start is a scalar subquery, so a table partitioned by orderDate skips the history no store needs.
+    Up to MAX_BROADCAST_PERIODS stores, which is checked, the period table is broadcast and the lines are
+    not shuffled. Beyond that, lines are salted, so that a store with very many lines is still spread.
     """
     lowest = periods.agg(F.min(start_col)).scalar()
-    return (
-        lines.where(F.col("orderDate") >= lowest)
-        .join(periods, "storeName")
-        .where(F.col("orderDate").between(F.col(start_col), F.col(end_col)))
-    )
+    inside = lines.where(F.col("orderDate") >= lowest)
+    if periods.limit(MAX_BROADCAST_PERIODS + 1).count() <= MAX_BROADCAST_PERIODS:
+        joined = inside.join(F.broadcast(periods), "storeName")
+    else:
+        salt = F.pmod(F.xxhash64(*lines.columns), F.lit(PERIOD_SALTS)).cast("int")
+        salted = periods.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(PERIOD_SALTS - 1))))
+        joined = inside.withColumn("__salt", salt).join(salted, ["storeName", "__salt"]).drop("__salt")
+    return joined.where(F.col("orderDate").between(F.col(start_col), F.col(end_col)))
 
 
 def migrate_date_range(source: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

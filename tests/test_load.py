@@ -201,3 +201,14 @@ def test_same_totals_by_brand_and_store(spark, sf_dir):
     totals = [t.agg(F.sum("sales")).first()[0] for t in (
         aggregates.brand_sales(lines), aggregates.store_sales(lines), aggregates.category_sales(lines), aggregates.product_sales(lines))]
     assert len(set(totals)) == 1
+
+
+def test_many_stores_take_the_salted_join(spark, sf_dir, monkeypatch):
+    from basketry.operators import store_reports as sr
+    from basketry.operators.staging import stage
+
+    lines = star.billing(spark, sf_dir)
+    weeks = stage(sr.store_weeks(lines))
+    few = sr.weekly_brand(lines, weeks).collect()
+    monkeypatch.setattr(tables, "MAX_BROADCAST_PERIODS", 1)
+    assert sorted(map(str, sr.weekly_brand(lines, weeks).collect())) == sorted(map(str, few))
