@@ -113,19 +113,26 @@ def anomaly_text(rows: DataFrame) -> DataFrame:
     return ranked.select(*KEY, F.explode(texts).alias("anomaly"))
 
 
-def group_figures(rows: DataFrame) -> DataFrame:
-    """One row per store, period and dimension: mean quantity and margin, revenue concentration."""
-    s = scored(rows)
+def _figures() -> list[Column]:
+    """Aggregates of scored rows by group."""
     total = F.first("group_sales")
     share = lambda k: F.when(total > 0, rounded(
         F.sum(F.when(F.col("sales_rank") <= k, F.col("sales"))) / total * 100, 1)).otherwise(0.0)
-    figures = s.groupBy(*GROUP).agg(
+    return [
         rounded(F.avg(F.when(F.col("qty") > 0, F.col("qty"))), 1).alias("avg_qty_sold"),
         rounded(F.avg("margin")).alias("avg_margin_pct"),
-        share(1).alias("top1_revenue_share_pct"), share(3).alias("top3_revenue_share_pct"))
+        share(1).alias("top1_revenue_share_pct"), share(3).alias("top3_revenue_share_pct")]
+
+
+def _concentration(figures: DataFrame) -> DataFrame:
     return figures.withColumn("concentration_flag", F.col("top3_revenue_share_pct") > CONCENTRATION_LIMIT)
 
 
+def group_figures(rows: DataFrame) -> DataFrame:
+    """One row per store, period and dimension: mean quantity and margin, revenue concentration."""
+    return _concentration(scored(rows).groupBy(*GROUP).agg(*_figures()))
+
+
 def intelligence_summary(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
     """One row per store, period and dimension: the group figures and every signal as JSON.
 
@@ -138,4 +145,4 @@ def intelligence_summary(rows: DataFrame, previous: DataFrame = None) -> DataFra
             F.col(s).isNotNull(), F.struct(F.col(s).alias("position"), *fields))))).alias(s)
         for s in SIGNAL_SIZES]
     trend = F.max(F.col("prev_sales").isNotNull()).alias("has_matched_trend")
-    return ranked.groupBy(*GROUP).agg(*lists, trend).join(group_figures(rows), GROUP)
+    return _concentration(ranked.groupBy(*GROUP).agg(*lists, trend, *_figures()))

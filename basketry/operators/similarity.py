@@ -237,10 +237,22 @@ def group_products(names: DataFrame, threshold: float = THRESHOLD, stop_words=No
     """(productName, group_id): names linked by a chain of similar pairs share a group."""
     texts = product_texts(names)
     vectors = stage(text_vectors(texts, stop_words))
+    return _groups(texts, vectors, threshold)
+
+
+def _groups(texts: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     return _named_groups(texts, vectors, connected_components(similar_pairs(vectors, threshold))).select(
         "productName", "group_id")
 
 
+def fit_groups(names: DataFrame, threshold: float = THRESHOLD, stop_words=None) -> tuple[DataFrame, DataFrame]:
+    """Groups and representatives together, from texts and vectors that are worked out once."""
+    texts = stage(product_texts(names))
+    vectors = stage(text_vectors(texts, stop_words))
+    groups = stage(_groups(texts, vectors, threshold))
+    return groups, _representatives(texts, vectors, groups)
+
+
 def group_representatives(names: DataFrame, groups: DataFrame, stop_words=None) -> DataFrame:
     """(group_id, representative, group_size): the name with the highest mean similarity to the others.
 
@@ -248,7 +260,10 @@ def group_representatives(names: DataFrame, groups: DataFrame, stop_words=None)
     so the cost is linear in the names. Equal means go to the first name.
     """
     texts = product_texts(names)
-    vectors = text_vectors(texts, stop_words)
+    return _representatives(texts, text_vectors(texts, stop_words), groups)
+
+
+def _representatives(texts: DataFrame, vectors: DataFrame, groups: DataFrame) -> DataFrame:
     terms = distinct_vectors(vectors).select("vec_id", F.explode("terms").alias("x")).select("vec_id", "x.rank", "x.weight")
     named = texts.join(vectors.select("text", "vec_id"), "text", "left").join(groups, "productName")
     members = named.groupBy("group_id", "vec_id").agg(

@@ -73,7 +73,21 @@ query("revenue_concentration", _pick("top1_revenue_share_pct", "top3_revenue_sha
  top3_revenue_share_pct > 50 as concentration_flag from ({_FIGURES})""")
 query("risk_score", lambda s, d: signals.scored(current_rows(s, d)).select(*KEY, "sales", "margin", "risk_score"),
       SCORED + f"\nselect {_KEY}, sales, margin, risk_score from scored")
-query("intelligence_summary", lambda s, d: signals.intelligence_summary(*weekly_rows(s, d)))
+
+
+def _summary(s, d):
+    """The summary with each JSON list reduced to its names in order."""
+    summary = signals.intelligence_summary(*weekly_rows(s, d))
+    names_of = lambda c: F.array_join(F.from_json(c, F.lit("array<struct<name:string>>"))["name"], "|")
+    return summary.withColumns({name: names_of(name) for name in _RULES})
+
+
+_LISTS = ", ".join(
+    f"""coalesce((select string_agg(name, '|' order by position) from ({_signal_sql(name)}) x where x."storeName" = f."storeName"
+ and x.period_start = f.period_start and x.dim = f.dim), '') as {name}""" for name in _RULES)
+query("intelligence_summary", _summary, SCORED + f"""\nselect f.*, top3_revenue_share_pct > 50 as concentration_flag,
+ exists (select 1 from scored c where c."storeName" = f."storeName" and c.period_start = f.period_start and c.dim = f.dim
+ and prev_sales is not null) as has_matched_trend, {_LISTS} from ({_FIGURES}) f""")
 
 # Recommendation facts.
 

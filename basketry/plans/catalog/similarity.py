@@ -101,8 +101,7 @@ for suffix, t in (("", similarity.THRESHOLD), ("_loose", LOOSE)):
 
 
 def _mapping(s, d):
-    found = similarity.group_products(names(s, d), LOOSE)
-    return found, similarity.group_representatives(names(s, d), found)
+    return similarity.fit_groups(names(s, d), LOOSE)
 
 
 _MAP = _full(LOOSE) + ',\n product_map as (select "productName", representative from members join reps using (group_id))'
