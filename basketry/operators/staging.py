@@ -11,18 +11,21 @@ def staging_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    shared = tempfile.mkdtemp(prefix="basketry-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Materialise a DataFrame with a reliable checkpoint and cut its lineage."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(staging_root(df.sparkSession))
+        root = staging_root(df.sparkSession)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(root)
     return df.checkpoint(eager=True)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.clean import normalise_phone, rounded
 from basketry.operators.serial import top_per_group
+from basketry.operators.staging import stage
 
 LOW_STOCK_THRESHOLD = 5
 GROUP_TOP = 10
@@ -113,8 +114,15 @@ def _bullet(rows: DataFrame, priority: int, kind: str, text: Column, position="p
         text.alias("text"))
 
 
+def _troubled(stock: DataFrame, threshold: float) -> DataFrame:
+    """The rows that are not in order, staged: every part of an alert reads them, none reads the rest."""
+    rows = classify_stock(stock, threshold).where(F.col("status") != OK)
+    return stage(rows.select("storeName", *_ITEM))
+
+
 def stock_insight_bullets(stock: DataFrame, dim: str, threshold: float = LOW_STOCK_THRESHOLD) -> DataFrame:
     """Ordered alert lines per store for 'brand', 'categoryName' or 'productName'."""
+    stock = _troubled(stock, threshold)
     if dim == "productName":
         return _product_bullets(stock, threshold)
     first = lambda df, n: df.where(F.col("position") <= n)
@@ -155,6 +163,7 @@ def _product_bullets(stock: DataFrame, threshold: float) -> DataFrame:
 
 def stock_alert_rows(stock: DataFrame, threshold: float = LOW_STOCK_THRESHOLD) -> DataFrame:
     """Lines of the alert of each store with negative or low stock; clean stores have none."""
+    stock = _troubled(stock, threshold)
     first = lambda df, n: df.where(F.col("position") <= n)
     text = F.format_string
     vendor = F.coalesce(F.col("vendorName"), F.lit("unknown"))
