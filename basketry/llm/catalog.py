@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from basketry.llm import cover_tree, decontamination, packing, perspectives, simhash, token_scan, warc
+from basketry.llm import (
+    cover_tree, decontamination, language_crf, packing, perspectives, prefix_free, simhash, super_kmers, token_scan, warc)
 from basketry.llm.common import table
 
 
@@ -24,6 +25,13 @@ def op3_separator_scan(spark, sf_dir):
     return token_scan.document_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_language_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_crf.fit_on(docs)
+    marked = language_crf.label_languages(docs.select("doc_id", "text"), model)
+    return marked.select("doc_id", F.coalesce(language_crf.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op5_perspectives(spark, sf_dir):
     return perspectives.rotate_perspectives(table(spark, sf_dir, "conversations")).select(
         "conv_id", "perspective", F.col("part").cast("long").alias("part"), F.col("n_turns").cast("long").alias("n_turns"),
@@ -31,6 +39,10 @@ def op5_perspectives(spark, sf_dir):
         F.array_join(F.transform("masks", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))), ",").alias("masks"))
 
 
+def op6_prefix_free_parsing(spark, sf_dir):
+    return prefix_free.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_complement(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +53,10 @@ def op8_cover_tree(spark, sf_dir):
                         (F.col("vec_id") == F.col("component")).alias("kept"))
 
 
+def op9_super_kmers(spark, sf_dir):
+    return super_kmers.find_repeated_words(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
