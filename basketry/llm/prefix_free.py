@@ -22,6 +22,7 @@ TRIGGER_BYTES = 8
 PHRASE_BYTES = 80
 SHORT_PHRASE_BYTES = 8
 TAIL_BYTES = 128
+PART_WINDOWS = 16
 SEGMENT = 1 << 20
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -77,13 +78,29 @@ def phrase_runs(text: str, length: int = LENGTH, tail: int = TAIL_BYTES, phrase:
         a, step, first, last = _classes(anchor[real], first[real], last[real], tail)
         out.append((a, step, first, last, np.full(len(a), kind)))
     a, step, first, last, kind = (np.concatenate(c) for c in zip(*out))
-    view, digest = memoryview(data), xxhash.xxh3_64_intdigest
-    begin, end = a - step * tail, a + length - (step + 1) * tail + 1
-    core = np.array([digest(view[s:e], k) for s, e, k in zip(begin.tolist(), end.tolist(), (step * 2 + kind).tolist())], np.uint64)
-    rid = np.array([digest(view[s:e], k) for s, e, k in zip(first.tolist(), (last + length).tolist(), (a - first).tolist())], np.uint64)
+    core, rid = _digests(data, a, step, first, last, step * 2 + kind, length, tail)
     return core, rid, first, last - first + 1
 
 
+def part_runs(data: bytes, start: int, n: int, length: int = LENGTH, phrase: int = PHRASE_BYTES,
+              windows: int = PART_WINDOWS):
+    """A run cut into parts of at most ``windows`` windows, by how far they begin before the run's anchor."""
+    inside = data[start:start + length]
+    ends = triggers(inside, phrase, 0)
+    ends = ends if len(ends) else triggers(inside, SHORT_PHRASE_BYTES, 1)
+    anchor = start + int(ends[0]) if len(ends) else start
+    a, step, first, last = _classes(*(np.array([x]) for x in (anchor, start, start + n - 1)), windows)
+    return *_digests(data, a, step, first, last, step, length, windows), first, last - first + 1
+
+
+def _digests(data, anchor, step, first, last, seed, length, tail):
+    """Digests of what all windows of a class share, and of all that the windows of a run hold."""
+    view, digest = memoryview(data), xxhash.xxh3_64_intdigest
+    begin, end = anchor - step * tail, anchor + length - (step + 1) * tail + 1
+    return (np.array([digest(view[s:e], k) for s, e, k in zip(b.tolist(), e.tolist(), k.tolist())], np.uint64)
+            for b, e, k in ((begin, end, seed), (first, last + length, anchor - first)))
+
+
 def window_digests(text: str, runs: list, length: int = LENGTH) -> list:
     view = memoryview(text.encode())
     return [xxhash.xxh3_128_digest(view[p:p + length]) for start, n in runs for p in range(start, start + n)]
@@ -102,9 +119,11 @@ _RESULT = [StructField("n_bytes", LongType()), StructField("n_removed", LongType
 
 def _parsed(docs: DataFrame, id_col: str, text_col: str, length: int, with_bytes: bool) -> DataFrame:
     texts = distinct_texts(docs, id_col, text_col)
-    tail = min(TAIL_BYTES, max(1, length // 3))
-    marks = repeated_windows(texts, "copies", lambda t: phrase_runs(t, length, tail, min(PHRASE_BYTES, max(2, length // 5))),
-                             lambda t, runs: window_digests(t, runs, length), False)
+    tail, phrase = min(TAIL_BYTES, length // 3), min(PHRASE_BYTES, length // 5)
+    marks = repeated_windows(
+        texts, "copies", lambda t: phrase_runs(t, length, tail, phrase),
+        [lambda data, start, n: part_runs(data, start, n, length, phrase, min(PART_WINDOWS, tail))],
+        lambda t, runs: window_digests(t, runs, length), False)
     schema = StructType(_RESULT + [StructField("kept", BinaryType())] * with_bytes)
     return map_texts(texts, marks, lambda t, s, n: _without(t, s, n, length)[:len(schema)], schema)
 

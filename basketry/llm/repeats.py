@@ -6,7 +6,8 @@ again in a run with an equal core, so:
 
 1. runs whose core occurs once are dropped, by two columns of digests;
 2. equal runs (same core, same bytes) are settled together, by their digests;
-3. only where a core has runs that differ, the single windows of one copy of each are compared.
+3. only where a core has runs that differ, one copy of each is cut into shorter runs, which are treated in the
+   same way, and at last into single windows.
 
 Texts are stored once each, bucketed by their key, so that later steps meet them without another shuffle.
 """
@@ -24,8 +25,10 @@ from basketry.operators.staging import scratch_path
 LAST = (1 << 63) - 1
 RUN = StructType([StructField("core", LongType()), StructField("rid", LongType()), StructField("tid", LongType()),
                   StructField("weight", LongType()), StructField("start", IntegerType()), StructField("n", IntegerType())])
-WINDOW = StructType([StructField("w", BinaryType()), StructField("core", LongType()), StructField("rid", LongType()),
-                     StructField("total", LongType()), StructField("place", IntegerType())])
+PART = StructType([*RUN.fields, StructField("up_core", LongType()), StructField("up_rid", LongType()),
+                   StructField("place", IntegerType())])
+WINDOW = StructType([StructField("w", BinaryType()), StructField("weight", LongType()), StructField("up_core", LongType()),
+                     StructField("up_rid", LongType()), StructField("place", IntegerType())])
 
 
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -70,44 +73,90 @@ def _by_text(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return texts.join(lists.join(texts.select("tid", "key"), "tid").drop("tid"), "key", how)
 
 
-def repeated_windows(texts: DataFrame, weight: str, find_runs, window_keys, by_order: bool) -> DataFrame:
+def _from_asked(texts: DataFrame, asked: DataFrame, schema: StructType, cut) -> DataFrame:
+    """Rows that ``cut(text, runs)`` makes of one copy of each run in ``asked``; a dict of columns for each text."""
+    lists = asked.groupBy(F.col("one.tid").alias("tid")).agg(
+        F.collect_list(F.struct("one.tid", "one.start", "one.n", "core", "rid", "total")).alias("runs"))
+
+    def run(batches):
+        kinds = arrow_schema(schema)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                columns = cut(batch.column(0)[k].as_py(), batch.column(1)[k].as_py())
+                whole = pa.RecordBatch.from_arrays([pa.array(columns[n], kinds.field(n).type) for n in schema.names], schema=kinds)
+                for at in range(0, whole.num_rows, 50_000):
+                    yield whole.slice(at, 50_000)
+
+    return _by_text(texts, lists, "inner").select("text", "runs").mapInArrow(run, schema)
+
+
+def _parts(cut_runs):
+    """Shorter runs of some runs. ``cut_runs(bytes of the text, start, n)`` gives the arrays (core, rid, start, n)."""
+
+    def cut(text, runs):
+        out, data = {name: [] for name in PART.names}, text.encode()
+        for r in runs:
+            core, rid, start, n = cut_runs(data, r["start"], r["n"])
+            same = {"tid": r["tid"], "weight": r["total"], "up_core": r["core"], "up_rid": r["rid"]}
+            for name, value in same.items():
+                out[name] += [value] * len(core)
+            for name, value in (("core", core.view(np.int64)), ("rid", rid.view(np.int64)), ("start", start), ("n", n), ("place", start - r["start"])):
+                out[name] += value.tolist()
+        return out
+
+    return cut
+
+
+def _windows(window_keys):
+    def cut(text, runs):
+        places = [(r["total"], r["core"], r["rid"], k) for r in runs for k in range(r["n"])]
+        columns = zip(*places) if places else ((), (), (), ())
+        return {"w": window_keys(text, [(r["start"], r["n"]) for r in runs])} | dict(zip(WINDOW.names[1:], columns))
+
+    return cut
+
+
+def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, window_keys, by_order: bool) -> DataFrame:
     """(tid, marks): for each text with repeated windows, the runs of them as (start, n).
 
     With ``by_order`` false, ``weight`` is a number of copies, and windows that occur twice or more are marked.
     With it true, ``weight`` is an order, and windows that also occur in a text of smaller order are marked.
-    ``window_keys(text, [(start, n)])`` gives the bytes that identify each window of some runs.
+    ``cuts`` are functions for shorter and shorter runs; ``window_keys(text, [(start, n)])`` gives the bytes that
+    identify each window of some runs.
     """
-    total, repeated = (F.min, "hi > lo") if by_order else (F.sum, "lo > 1")
+    total = F.min if by_order else F.sum
     settled = "weight > total" if by_order else "total > 1"
-    runs = _run_rows(texts, weight, find_runs)
-    cores = runs.groupBy("core").agg(total("weight").alias("lo"), F.max("weight").alias("hi")).where(repeated).select("core") \
-        if by_order else runs.groupBy("core").agg(total("weight").alias("lo")).where(repeated).select("core")
-    shared = stage(_run_rows(texts, weight, find_runs).join(cores, "core", "left_semi"), "shared-runs")
-    kinds = stage(shared.groupBy("core", "rid").agg(
-        total("weight").alias("total"), F.min(F.struct("tid", "start", "n")).alias("one")), "run-kinds")
     unsettled = "max(total) > min(total)" if by_order else "min(total) = 1"
-    mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.expr(unsettled).alias("open")).where(
-        "kinds > 1 and open").select("core")
-    asked = kinds.join(mixed, "core", "left_semi").groupBy(F.col("one.tid").alias("tid")).agg(
-        F.collect_list(F.struct("one.start", "one.n", "core", "rid", "total")).alias("runs"))
 
-    def windows(batches):
-        out = arrow_schema(WINDOW)
-        for batch in batches:
-            for text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = [(r["core"], r["rid"], r["total"], k) for r in found for k in range(r["n"])]
-                keys = window_keys(text, [(r["start"], r["n"]) for r in found])
-                for at in range(0, len(rows), 50_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip([keys[at:at + 50_000], *zip(*rows[at:at + 50_000])], out.types)], schema=out)
-
-    single = stage(_by_text(texts, asked, "inner").select("text", "runs").mapInArrow(windows, WINDOW), "windows")
-    counted = single.groupBy("w").agg((F.min if by_order else F.sum)("total").alias("all"))
-    hit = single.join(counted, "w").where("total > all" if by_order else "total = 1 and all > 1").select("core", "rid", "place")
-    whole = shared.join(kinds.select("core", "rid", "total"), ["core", "rid"])
-    marks = whole.where(settled).select("tid", "start", "n").unionByName(
-        whole.where(f"not ({settled})").join(hit, ["core", "rid"]).select(
-            "tid", F.expr("start + place").alias("start"), F.lit(1).alias("n")))
+    def settle(rows, again, keys, at, level) -> DataFrame:
+        """(*keys, at, n): repeated windows of ``rows``, counted from ``at``. ``again`` makes the rows once more."""
+        sums = [total("weight").alias("lo"), *[F.max("weight").alias("hi")] * by_order]
+        cores = rows.groupBy("core").agg(*sums).where("hi > lo" if by_order else "lo > 1").select("core")
+        shared = stage(again.join(cores, "core", "left_semi"), "shared-runs")
+        kinds = stage(shared.groupBy("core", "rid").agg(
+            total("weight").alias("total"), F.min(F.struct("tid", "start", "n")).alias("one")), "run-kinds")
+        mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.expr(unsettled).alias("open")).where(
+            "kinds > 1 and open").select("core")
+        found = refine(kinds.join(mixed, "core", "left_semi"), level)
+        whole = shared.join(kinds.select("core", "rid", "total"), ["core", "rid"])
+        return whole.where(settled).select(*keys, at, "n").unionByName(
+            whole.where(f"not ({settled})").drop("n").join(found, ["core", "rid"]).select(
+                *keys, F.expr(f"{at} + part_place").alias(at), "n"))
+
+    def refine(asked, level) -> DataFrame:
+        """(core, rid, part_place, n): repeated windows inside the runs ``asked``."""
+        if level < len(cuts):
+            parts = stage(_from_asked(texts, asked, PART, _parts(cuts[level])), "run-parts")
+            found = settle(parts, parts, ["up_core", "up_rid"], "place", level + 1)
+        else:
+            single = stage(_from_asked(texts, asked, WINDOW, _windows(window_keys)), "windows")
+            counted = single.groupBy("w").agg(total("weight").alias("total"))
+            found = single.join(counted, "w").where(settled).select("up_core", "up_rid", "place", F.lit(1).alias("n"))
+        return found.withColumnsRenamed({"up_core": "core", "up_rid": "rid", "place": "part_place"})
+
+    # The rows of all texts are cheaper to make twice than to keep.
+    first, second = (_run_rows(texts, weight, find_runs) for _ in range(2))
+    marks = settle(first, second, ["tid"], "start", 0)
     return marks.groupBy("tid").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
 
 

@@ -97,7 +97,7 @@ def find_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row. Other columns are not read.
     """
     texts = distinct_texts(docs, id_col, text_col)
-    marks = repeated_windows(texts, "least", lambda t: super_kmers(t, window, min(MINIMISER_WORDS, window)),
+    marks = repeated_windows(texts, "least", lambda t: super_kmers(t, window, min(MINIMISER_WORDS, window)), [],
                              lambda t, runs: window_words(t, runs, window), True)
     schema = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
     found = map_texts(texts, marks, lambda t, s, n: _without(t, s, n, window), schema)
