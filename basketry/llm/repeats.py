@@ -23,6 +23,7 @@ from basketry.llm.common import arrow_schema, stage, text_key
 from basketry.operators.staging import scratch_path
 
 LAST = (1 << 63) - 1
+KINDS_PER_BUCKET = 1000
 RUN = StructType([StructField("core", LongType()), StructField("rid", LongType()), StructField("tid", LongType()),
                   StructField("weight", LongType()), StructField("start", IntegerType()), StructField("n", IntegerType())])
 PART = StructType([*RUN.fields, StructField("up_core", LongType()), StructField("up_rid", LongType()),
@@ -31,6 +32,12 @@ WINDOW = StructType([StructField("w", BinaryType()), StructField("weight", LongT
                      StructField("up_rid", LongType()), StructField("place", IntegerType())])
 
 
+PACKED = StructType([StructField("core", LongType()), StructField("rid", LongType()), StructField("weight", LongType()),
+                     StructField("packed", BinaryType())])
+HIT = StructType([StructField("core", LongType()), StructField("rid", LongType()), StructField("part_place", IntegerType()),
+                  StructField("n", IntegerType())])
+
+
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, tid, text, copies, least): each text once, with the number of its rows and its smallest id.
 
@@ -116,13 +123,56 @@ def _windows(window_keys):
     return cut
 
 
-def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, window_keys, by_order: bool) -> DataFrame:
+def _packed(pack):
+    def cut(text, runs):
+        return {"core": [r["core"] for r in runs], "rid": [r["rid"] for r in runs], "weight": [r["total"] for r in runs],
+                "packed": pack(text, [(r["start"], r["n"]) for r in runs])}
+
+    return cut
+
+
+def _in_buckets(packed: DataFrame, count, unpack) -> DataFrame:
+    """(core, rid, part_place, n): windows of packed runs that a run of smaller order in the bucket also has.
+
+    A bucket is a core. Buckets of at most ``KINDS_PER_BUCKET`` runs are sorted whole; the windows of larger ones
+    are dealt out one by one.
+    """
+    sizes = packed.groupBy("core").agg(F.count("*").alias("kinds"))
+    large = sizes.where(f"kinds > {KINDS_PER_BUCKET}").select("core")
+    buckets = packed.join(large, "core", "left_anti").groupBy("core").agg(F.collect_list(F.struct("rid", "weight", "packed")).alias("runs"))
+
+    def sort(batches):
+        kinds = arrow_schema(HIT)
+        for batch in batches:
+            rows = []
+            for core, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows += [(core, runs[i]["rid"], k, 1) for i, k in count([(r["weight"], r["packed"]) for r in runs])]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.types)], schema=kinds)
+
+    def deal(batches):
+        out = arrow_schema(WINDOW)
+        for batch in batches:
+            rows = [(w, weight, core, rid, k) for core, rid, weight, packed in zip(*(batch.column(i).to_pylist() for i in range(4)))
+                    for k, w in enumerate(unpack(packed))]
+            for at in range(0, len(rows), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + 50_000]), out.types)], schema=out)
+
+    single = stage(packed.join(large, "core", "left_semi").mapInArrow(deal, WINDOW), "windows")
+    least = single.groupBy("w").agg(F.min("weight").alias("least"))
+    dealt = single.join(least, "w").where("weight > least").select(
+        F.col("up_core").alias("core"), F.col("up_rid").alias("rid"), F.col("place").alias("part_place"), F.lit(1).alias("n"))
+    return buckets.mapInArrow(sort, HIT).unionByName(dealt)
+
+
+def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, window_keys, by_order: bool,
+                     count_bucket=None, unpack=None) -> DataFrame:
     """(tid, marks): for each text with repeated windows, the runs of them as (start, n).
 
     With ``by_order`` false, ``weight`` is a number of copies, and windows that occur twice or more are marked.
     With it true, ``weight`` is an order, and windows that also occur in a text of smaller order are marked.
-    ``cuts`` are functions for shorter and shorter runs; ``window_keys(text, [(start, n)])`` gives the bytes that
-    identify each window of some runs.
+    ``cuts`` are functions for shorter and shorter runs. Last, ``window_keys(text, [(start, n)])`` gives the bytes
+    that identify each window of some runs; or, with ``count_bucket``, the runs packed, which travel to their bucket.
     """
     total = F.min if by_order else F.sum
     settled = "weight > total" if by_order else "total > 1"
@@ -130,8 +180,8 @@ def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, windo
 
     def settle(rows, again, keys, at, level) -> DataFrame:
         """(*keys, at, n): repeated windows of ``rows``, counted from ``at``. ``again`` makes the rows once more."""
-        sums = [total("weight").alias("lo"), *[F.max("weight").alias("hi")] * by_order]
-        cores = rows.groupBy("core").agg(*sums).where("hi > lo" if by_order else "lo > 1").select("core")
+        times = F.count("*") if by_order else F.sum("weight")
+        cores = rows.groupBy("core").agg(times.alias("times")).where("times > 1").select("core")
         shared = stage(again.join(cores, "core", "left_semi"), "shared-runs")
         kinds = stage(shared.groupBy("core", "rid").agg(
             total("weight").alias("total"), F.min(F.struct("tid", "start", "n")).alias("one")), "run-kinds")
@@ -148,6 +198,8 @@ def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, windo
         if level < len(cuts):
             parts = stage(_from_asked(texts, asked, PART, _parts(cuts[level])), "run-parts")
             found = settle(parts, parts, ["up_core", "up_rid"], "place", level + 1)
+        elif count_bucket:
+            return _in_buckets(stage(_from_asked(texts, asked, PACKED, _packed(window_keys)), "packed"), count_bucket, unpack)
         else:
             single = stage(_from_asked(texts, asked, WINDOW, _windows(window_keys)), "windows")
             counted = single.groupBy("w").agg(total("weight").alias("total"))

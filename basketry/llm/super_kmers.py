@@ -23,6 +23,9 @@ WORDS_AT_ONCE = 200_000
 _TABLE = bytes(32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 
 
+_PLACE_BITS = 22
+
+
 def words_of(text: str) -> list:
     """Words between blanks and ASCII white space, as UTF-8 bytes; none for null."""
     return [w for w in (text or "").encode().translate(_TABLE).split(b" ") if w]
@@ -34,6 +37,9 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+_FACTORS = _scramble(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
 def word_hashes(words: list) -> np.ndarray:
     """A 64-bit hash of each word: bytes times factors of their places, summed and mixed."""
     found = []
@@ -48,19 +54,32 @@ def word_hashes(words: list) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _first_least(code: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least code, by its upper bits, in each window; the first of equals."""
+    n = len(code) - width + 1
+    if len(code) >= 1 << _PLACE_BITS:
+        upper = code >> np.uint64(_PLACE_BITS)
+        return np.lib.stride_tricks.sliding_window_view(upper, width).argmin(1) + np.arange(n)
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    least, have = code & ~low | np.arange(len(code), dtype=np.uint64), 1
+    while 2 * have <= width:
+        least, have = np.minimum(least[:-have], least[have:]), 2 * have
+    rest = width - have
+    return ((np.minimum(least[:len(least) - rest], least[rest:]) if rest else least) & low).astype(np.int64)
+
+
 def super_kmers(text: str, window: int = WINDOW, group: int = MINIMISER_WORDS):
-    """Runs of windows with the same minimiser. Groups of long words come first in the order, as they are rarer."""
+    """Runs of windows with the same minimiser."""
     words = words_of(text)
     if len(words) < window:
         return [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2
     hashes, sizes = word_hashes(words), np.array([len(w) for w in words])
     n = len(words) - group + 1
-    code, size = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+    code = np.zeros(n, np.uint64)
     for k in range(group):
-        code = _scramble(code + hashes[k:k + n])
-        size += sizes[k:k + n]
-    order = (np.uint64(63) - np.minimum(size, 63).astype(np.uint64)) << np.uint64(58) | code >> np.uint64(6)
-    at = np.lib.stride_tricks.sliding_window_view(order, window - group + 1).argmin(1) + np.arange(len(words) - window + 1)
+        code += hashes[k:k + n] * _FACTORS[k]
+    code = _scramble(code)
+    at = _first_least(code, window - group + 1)
     first = np.flatnonzero(np.diff(at, prepend=-1))
     last = np.append(first[1:] - 1, len(at) - 1)
     view, digest = memoryview(b" ".join(words)), xxhash.xxh3_64_intdigest
@@ -70,12 +89,30 @@ def super_kmers(text: str, window: int = WINDOW, group: int = MINIMISER_WORDS):
     return code[at[first]], rid, first, last - first + 1
 
 
-def window_words(text: str, runs: list, window: int = WINDOW) -> list:
-    """The words of every window of some super-k-mers, unpacked from the super-k-mer."""
-    words, found = words_of(text), []
-    for start, n in runs:
-        packed = words[start:start + n + window - 1]
-        found += [b" ".join(packed[k:k + window]) for k in range(n)]
+def packed_words(text: str, runs: list, window: int = WINDOW) -> list:
+    """The super-k-mers of some runs as packed strings."""
+    words = words_of(text)
+    return [b" ".join(words[start:start + n + window - 1]) for start, n in runs]
+
+
+def unpacked(packed: bytes, window: int = WINDOW) -> list:
+    """The windows of a packed super-k-mer."""
+    words = packed.split(b" ")
+    return [b" ".join(words[k:k + window]) for k in range(len(words) - window + 1)]
+
+
+def counted_bucket(pieces: list, window: int = WINDOW) -> list:
+    """[(number of the super-k-mer, place)] of the windows that a super-k-mer of smaller order in the bucket has.
+
+    ``pieces`` is a list of (order, packed). Sorting brings equal windows together, the smallest order first.
+    """
+    found, before = [], None
+    for w, order, number, place in sorted(
+            (w, order, i, k) for i, (order, packed) in enumerate(pieces) for k, w in enumerate(unpacked(packed, window))):
+        if w != before:
+            before, least = w, order
+        elif order > least:
+            found.append((number, place))
     return found
 
 
@@ -97,8 +134,9 @@ def find_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row. Other columns are not read.
     """
     texts = distinct_texts(docs, id_col, text_col)
-    marks = repeated_windows(texts, "least", lambda t: super_kmers(t, window, min(MINIMISER_WORDS, window)), [],
-                             lambda t, runs: window_words(t, runs, window), True)
+    marks = repeated_windows(texts, "least", lambda t: super_kmers(t, window, min(MINIMISER_WORDS, (window + 1) // 2)), [],
+                             lambda t, runs: packed_words(t, runs, window), True,
+                             lambda pieces: counted_bucket(pieces, window), lambda packed: unpacked(packed, window))
     schema = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
     found = map_texts(texts, marks, lambda t, s, n: _without(t, s, n, window), schema)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_key(F.col(f"`{text_col}`")).alias("key"))
