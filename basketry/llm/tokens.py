@@ -5,10 +5,12 @@ encodes a word once and keeps its ids; the store of words is bounded and never c
 """
 
 import functools
+import json
 from array import array
 
 _SPACES = bytes.maketrans(b"\t\n\r", b"   ")
-WORDS_KEPT = 300_000
+_SPACES_LOWER = bytes(32 if c in (9, 10, 13) else c + 32 if 65 <= c < 91 else c for c in range(256))
+WORDS_KEPT = 700_000
 LONGEST_KEPT = 64
 PIECE = 1 << 20
 
@@ -20,14 +22,17 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.known = {b"": b""}
+        # A tokenizer that lowers all letters gives a word and its lower-case form the same ids; marker strings aside.
+        self.spaces = _SPACES_LOWER if '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"]) else _SPACES
 
     def _encode(self, words: list) -> dict:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return {w: array("I", e.ids).tobytes() for w, e in zip(words, found)}
 
     def __call__(self, text) -> bytes:
         """Little-endian unsigned 32-bit ids of a text; nothing for null."""
-        data, parts, at = (text or "").encode().translate(_SPACES), [], 0
+        data, parts, at = (text or "").encode(), [], 0
+        data = data.translate(_SPACES if b"<|" in data else self.spaces)
         while at < len(data):
             end = len(data) if len(data) - at <= PIECE else data.rfind(b" ", at, at + PIECE)
             if end <= at:  # a word longer than a piece
