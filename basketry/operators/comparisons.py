@@ -98,7 +98,10 @@ def month_totals(lines: DataFrame, month) -> DataFrame:
 
 def _month_against_two(sales: DataFrame, name: str, date_col: str, value: str, month, quantity: str = None,
                        keep_previous_only: bool = False) -> DataFrame:
-    """Month total and half the total of the two months before, from one grouped pass."""
+    """Month total and half the total of the two months before, from one grouped pass.
+
+    A null name of the month is never joined with the null names before, hence its second group key.
+    """
     current = in_months(date_col, month)
     inside = sales.where(in_months(date_col, shift_month(month, -2), month))
     aggregates = [
@@ -108,7 +111,7 @@ def _month_against_two(sales: DataFrame, name: str, date_col: str, value: str, m
     if quantity:
         aggregates.append(F.sum(F.when(current, F.col(quantity))).alias("total_quantity"))
         aggregates.append(F.sum(F.when(~current, F.col(quantity))).alias("previous_quantity"))
-    grouped = inside.groupBy(name).agg(*aggregates)
+    grouped = inside.groupBy(name, (F.col(name).isNull() & current).alias("__null_now")).agg(*aggregates).drop("__null_now")
     if not keep_previous_only:
         grouped = grouped.where("__rows > 0")
     return grouped.drop("__rows").na.fill(0)

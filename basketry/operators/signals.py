@@ -107,9 +107,9 @@ def anomaly_text(rows: DataFrame) -> DataFrame:
     ranked = ranked_signals(rows)
     texts = F.array_compact(F.array(
         F.when(F.col("anomaly_negative_margin").isNotNull(), F.format_string(
-            "%s: NEGATIVE margin %s%% on Rs.%,.0f sales", "name", F.col("margin").cast("string"), "sales")),
+            "%s sells at a loss: margin of %s%% on sales of %,.0f", "name", F.col("margin").cast("string"), "sales")),
         F.when(F.col("anomaly_single_unit").isNotNull(),
-               F.format_string("%s: only 1 unit sold — dead stock risk", "name"))))
+               F.format_string("%s sold a single unit", "name"))))
     return ranked.select(*KEY, F.explode(texts).alias("anomaly"))
 
 

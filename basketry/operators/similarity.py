@@ -24,7 +24,6 @@ LONGEST_NGRAM = 3
 TOP_K = 10
 # End of fixed values.
 
-NAMES_PER_LISTING = 1000
 _EPSILON = 1e-9
 
 
@@ -159,7 +158,9 @@ def similar_products(names: DataFrame, threshold: float = THRESHOLD, k: int = TO
     vectors = text_vectors(texts, stop_words)
     named = texts.join(vectors.select("text", "vec_id"), "text").select("productName", "vec_id")
     pairs = similar_pairs(vectors, threshold)
-    both = pairs.unionByName(pairs.select(F.col("vec_b").alias("vec_a"), F.col("vec_a").alias("vec_b"), "similarity"))
+    both = pairs.select("similarity", F.explode(F.array(
+        F.struct(F.col("vec_a"), F.col("vec_b")), F.struct(F.col("vec_b").alias("vec_a"), F.col("vec_a").alias("vec_b")))).alias("pair"))
+    both = both.select("pair.vec_a", "pair.vec_b", "similarity")
     wanted = named if product is None else named.where(F.col("productName") == product)
     first_names = top_per_group(named, "vec_id", [F.col("productName")], k + 1).select(
         F.col("vec_id").alias("vec_b"), F.col("productName").alias("similar_product"))
@@ -297,16 +298,16 @@ def consolidate_sales(sales: DataFrame, mapping: DataFrame, product: str = "prod
 
 
 def analyze_groups(groups: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Representative, size and names of each group.
+    """(group_id, representative, group_size, position, productName): the names of each group in order.
 
-    The names of a group are listed in rows of about NAMES_PER_LISTING names, one row for all but very
-    large groups, so no list grows without bound and no name is left out.
+    One row per name, whatever the size of the group. Places come from a range sort over all names, so that a
+    very large group is spread over tasks.
     """
-    members = groups.join(representatives, "group_id").withColumn(
-        "parts", F.ceil(F.col("group_size") / NAMES_PER_LISTING).cast("int"))
-    part = F.pmod(F.xxhash64("productName"), F.col("parts")).cast("int")
-    return members.groupBy("group_id", "representative", "group_size", part.alias("part_no")).agg(
-        F.array_join(F.sort_array(F.collect_list("productName")), " | ").alias("products_in_group"))
+    members = groups.join(representatives, "group_id").select("group_id", "representative", "group_size", "productName")
+    numbered = add_serial(members, [F.col("group_id"), F.col("productName")])
+    first = numbered.groupBy("group_id").agg(F.min("s_no").alias("first"))
+    return numbered.join(first, "group_id").select(
+        "group_id", "representative", "group_size", (F.col("s_no") - F.col("first") + 1).alias("position"), "productName")
 
 
 def compare_thresholds(names: DataFrame, thresholds=COMPARED_THRESHOLDS, stop_words=None) -> DataFrame:

@@ -1,14 +1,13 @@
 """Typing of the sales fact, renames and small column-level reshapes."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketry.functions import clean
+from basketry.operators.staging import stage
 from basketry.operators.validate import SalesDataError
 from basketry.schemas import (
     BIGINT_COLUMNS, INTEGER_COLUMNS, MONEY_COLUMNS, NUMERIC_COLUMNS, SALES_COLUMNS, sales_type)
 
-MAX_RENAME_RULES = 100_000
-
 
 def _typed(column: str) -> Column:
     if column == "orderDate":
@@ -39,28 +38,45 @@ def conform_schema(df: DataFrame) -> DataFrame:
 
 
 def resolve_rules(rules) -> dict[str, str]:
-    """Final name of each old name after all rules ran in order, each on the result of the last."""
-    names = {old: old for old, _ in rules}
-    for old, new in rules:
-        names = {start: new if name == old else name for start, name in names.items()}
+    """Final name of each old name after all rules ran in order, each on the result of the last.
+
+    Read backwards, what becomes of a rule's new name is known when the rule is met.
+    """
+    names = {}
+    for old, new in reversed(list(rules)):
+        names[old] = names.get(new, new)
     return names
 
 
+def resolve_rule_table(rules: DataFrame) -> DataFrame:
+    """(old, new) as ``resolve_rules`` gives them, of a table (seq, old, new) of any size; seq is a unique integer.
+
+    Each rule is linked to the next later rule on its new name. Links are doubled until no chain goes on.
+    """
+    rules = stage(rules.select(F.col("seq").cast("long").alias("seq"), "old", "new"))
+    rule = lambda name, target: rules.select(F.col(name).alias("name"), "seq", target.cast("long").alias("rule"), F.lit(name).alias("kind"))
+    later = Window.partitionBy("name").orderBy(F.col("seq").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    events = rule("old", F.col("seq")).unionByName(rule("new", F.lit(None)))
+    links = stage(events.withColumn("next", F.min("rule").over(later)).where("kind = 'new'").select("seq", "next"))
+    while not links.join(links.select(F.col("seq").alias("next"), F.col("next").alias("after")), "next").where("after is not null").isEmpty():
+        onward = links.select(F.col("seq").alias("next"), F.col("next").alias("after"))
+        links = stage(links.join(onward, "next", "left").select("seq", F.coalesce("after", "next").alias("next")))
+    ends = rules.select(F.col("seq").alias("next"), F.col("new").alias("last"))
+    solved = rules.join(links, "seq").join(ends, "next", "left").select("seq", "old", F.coalesce("last", "new").alias("new"))
+    return solved.groupBy("old").agg(F.min_by("new", "seq").alias("new"))
+
+
 def rename_values(df: DataFrame, column: str, rules) -> DataFrame:
-    """Exact-match renames. ``rules`` is a list of (old, new) or a DataFrame (seq, old, new).
+    """Exact-match renames. ``rules`` is a list of (old, new) or a DataFrame (seq, old, new) of any size.
 
-    Rules are configuration: a rule table over MAX_RENAME_RULES rows is refused, so the lookup is
-    always small. Chains are resolved once on the rules, not on the data.
+    Chains are resolved once on the rules, not on the data; the optimiser picks the join by the size of the result.
     """
     if isinstance(rules, DataFrame):
-        found = rules.orderBy("seq").select("old", "new").limit(MAX_RENAME_RULES + 1).collect()
-        rules = [(r["old"], r["new"]) for r in found]
-    if len(rules) > MAX_RENAME_RULES:
-        raise SalesDataError(f"more than {MAX_RENAME_RULES} rename rules")
-    changed = [(old, new) for old, new in resolve_rules(rules).items() if old != new]
-    if not changed:
-        return df
-    lookup = df.sparkSession.createDataFrame(changed, f"`{column}` string, __new string")
+        found = resolve_rule_table(rules).where("old <> new")
+    else:
+        changed = [(old, new) for old, new in resolve_rules(rules).items() if old != new]
+        found = df.sparkSession.createDataFrame(changed, "old string, new string")
+    lookup = found.select(F.col("old").alias(column), F.col("new").alias("__new"))
     return (
         df.join(lookup, column, "left")
         .withColumn(column, F.coalesce("__new", column)).select(*df.columns))

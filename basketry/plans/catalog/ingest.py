@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from basketry.functions import clean, names as product_names
-from basketry.operators import aggregates, store_reports, transform, validate
+from basketry.operators import aggregates, delivery, store_reports, transform, validate
 from basketry.operators.serial import add_serial
 from basketry.operators.staging import scratch_path
+from basketry.plans import daily_load
 from basketry.plans.catalog.registry import query
 from basketry.plans.catalog.sql_views import (
     BILLING, PARTNERS, RAW, STOCK, STORE_SALES, rounded, with_)
@@ -18,9 +19,15 @@ _TEXT_SQL = 'invoice, "orderDate", quantity, "totalProductPrice", "storeName", "
 HEAD_OFFICE = "Head Office"
 
 
+_TAIL = ',\n"x"'
+_TAILED_SQL = """raw_tailed as (select * replace (concat("storeName", ',', chr(10), '"x"') as "storeName") from raw where "storeName" is not null
+ union all select * from raw where "storeName" is null)"""
+
+
 def _write_csv(df, path):
-    df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False).csv(path)
+    """CSV whose store names hold a comma, quotes and a line break."""
+    df.withColumn("storeName", F.concat("storeName", F.lit(_TAIL))).write.option("header", True).option(
+        "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def _payloads(spark, d):
@@ -34,7 +41,7 @@ def _payloads(spark, d):
 
 
 query("decode_report_payloads", _payloads,
-      with_(RAW) + f"select {_TEXT_SQL}, 2 * count(*) as n from raw group by all")
+      with_(RAW, _TAILED_SQL) + f"select {_TEXT_SQL}, 2 * count(*) as n from raw_tailed group by all")
 
 
 def _read_sales_csv(spark, d):
@@ -43,7 +50,7 @@ def _read_sales_csv(spark, d):
     return files.read_sales_csv(spark, path).select(*TEXT_COLUMNS)
 
 
-query("read_sales_csv", _read_sales_csv, with_(RAW) + f"select {_TEXT_SQL} from raw")
+query("read_sales_csv", _read_sales_csv, with_(RAW, _TAILED_SQL) + f"select {_TEXT_SQL} from raw_tailed")
 query("read_table",
       lambda s, d: tables.read_table(s, f"{d.rstrip('/')}/lineitem.parquet",
                                      ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"],
@@ -146,6 +153,16 @@ def _overwrite_aggregates(spark, d):
     return spark.read.parquet(f"{path}/store_sales").select("storename", "nooforder", "sales", "aov", "orderdate")
 
 
+def _daily_load(spark, d):
+    """Two loads of the raw lines, by type and date, and the first of them again: rows of every table."""
+    root, raw = scratch_path(spark, "load"), star.raw_sales(spark, d)
+    early = F.coalesce(F.day(clean.parse_order_date("orderDate")) <= 15, F.col("orderType") == "online")
+    for part in (early, ~early, early):
+        daily_load.load_sales(spark, raw.where(part), root, excluded_store=HEAD_OFFICE)
+    names = ["billing_data", "undated_data", "rejected_data", "brand_sales", "store_sales", "category_sales", "product_sales"]
+    return delivery.etl_rows_loaded({n: spark.read.parquet(f"{root}/{n}") for n in names})
+
+
 query("overwrite_aggregates", _overwrite_aggregates, with_(
     BILLING.replace("billing as (", "all_lines as ("), """billing as (select * from all_lines where "storeName" <> 'NATION_0')""",
     STORE_SALES) + "select storename, nooforder, cast(sales as double) as sales, aov, orderdate from store_sales")
@@ -261,6 +278,13 @@ query("date_format_profile", lambda s, d: validate.date_format_profile(star.raw_
               ("%m/%d/%Y", "fmt_M_slash_d_slash_yyyy"), ("%d/%m/%Y", "fmt_d_slash_M_slash_yyyy"),
               ("%Y/%m/%d", "fmt_yyyy_slash_M_slash_d")]) + f", count({_PARSED}) as parsed from raw")
 
+_GOOD = TYPED.replace("typed as", "good as").replace("from raw", f"from raw where not {_BAD}")
+_USED = f"""used as (select * from good where "orderDate" is not null and "totalProductPrice" is not null and "storeName" is distinct from '{HEAD_OFFICE}')"""
+query("daily_load", _daily_load, with_(RAW, _GOOD, _USED) + f"""select 'billing_data' as table_name, count(*) as row_count from good where "orderDate" is not null
+ union all select 'undated_data', count(*) from good where "orderDate" is null union all select 'rejected_data', count(*) from raw where {_BAD}"""
+      + "".join(f""" union all select '{t}', count(*) from (select distinct "{c}", "orderDate" from used)""" for t, c in (
+          ("brand_sales", "brandName"), ("store_sales", "storeName"), ("category_sales", "subCategoryOf"), ("product_sales", "productName"))))
+
 # Column functions, as counts per input and output value.
 
 

@@ -116,8 +116,8 @@ query("consolidate_sales", _consolidated, _MAP + ",\n" + PRODUCT_SALES + """
  coalesce(representative, product_sales.productname) as product_name, cast(sum(sales) as double) as sales, cast(sum(quantitysold) as bigint) as quantity_sold
  from product_sales left join product_map on product_map."productName" = product_sales.productname group by coalesce(representative, product_sales.productname)""")
 query("analyze_groups", lambda s, d: similarity.analyze_groups(*_mapping(s, d)), _full(LOOSE) + """
- select group_id, representative, reps.group_size, 0 as part_no, string_agg("productName", ' | ' order by "productName") as products_in_group
- from members join reps using (group_id) group by 1, 2, 3""")
+ select group_id, representative, reps.group_size, row_number() over (partition by group_id order by "productName") as position,
+ "productName" from members join reps using (group_id)""")
 
 
 def _compare_sql(thresholds):
@@ -133,15 +133,19 @@ query("compare_thresholds_loose", lambda s, d: similarity.compare_thresholds(nam
 
 
 def _impact(s, d):
-    lines = star.billing(s, d, ["productName", "totalProductPrice"])
-    before = lines.groupBy("productName").agg(F.sum("totalProductPrice").alias("sales"))
-    after = lines.groupBy(preprocess_product_name("productName").alias("text")).agg(F.sum("totalProductPrice").alias("sales"))
-    return similarity.consolidation_impact(before, after)
-
-
-query("consolidation_impact", _impact, with_(BILLING, TEXTS) + f"""select n as original_products, m as consolidated_products, t as original_sales,
- t as consolidated_sales, {rounded("cast(n - m as double) * 100 / n", 1)} as reduction_pct, 100.0::double as preserved_pct
- from (select count(*) as n, count(distinct text) as m, (select cast(sum("totalProductPrice") as double) from billing) as t from texts)""")
+    sales = aggregates.product_sales(product_lines(s, d))
+    after = similarity.consolidate_sales(sales, similarity.product_map(*_mapping(s, d)))
+    return similarity.consolidation_impact(sales.groupBy("productname").agg(F.sum("sales").alias("sales")), after)
+
+
+query("consolidation_impact", _impact, _MAP + ",\n" + PRODUCT_SALES + f""",
+ before_rows as (select productname, sum(sales) as v from product_sales group by 1),
+ after_rows as (select coalesce(representative, before_rows.productname) as k, sum(v) as v from before_rows
+ left join product_map on product_map."productName" = before_rows.productname group by 1),
+ sides as (select (select count(*) from before_rows) as n, (select count(*) from after_rows) as m,
+ (select cast(sum(v) as double) from before_rows) as b, (select cast(sum(v) as double) from after_rows) as a)
+ select n as original_products, m as consolidated_products, b as original_sales, a as consolidated_sales,
+ {rounded("cast(n - m as double) * 100 / n", 1)} as reduction_pct, {rounded("a * 100 / b", 1)} as preserved_pct from sides""")
 query("consolidated_product_daily", lambda s, d: similarity.consolidated_product_daily(
     aggregates.product_sales(product_lines(s, d)), similarity.product_map(*_mapping(s, d)), _end(s, d)),
       _MAP + f""",\n daily as ({_PRODUCT_DAILY}),

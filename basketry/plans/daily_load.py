@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.operators import aggregates, validate
-from basketry.operators.staging import stage
+from basketry.operators.delivery import etl_rows_loaded
+from basketry.operators.staging import scratch_path, stage
 from basketry.operators.transform import transform_sales
-from basketry.schemas import REQUIRED_SALES_COLUMNS
-from basketry.sinks.tables import overwrite_aggregates, overwrite_dates
+from basketry.schemas import REQUIRED_SALES_COLUMNS, SALES_COLUMNS
+from basketry.sinks.tables import load_fingerprint, overwrite_aggregates, overwrite_dates, overwrite_load
 
 
 def aggregate_tables(lines: DataFrame) -> dict[str, DataFrame]:
@@ -15,22 +16,41 @@ def aggregate_tables(lines: DataFrame) -> dict[str, DataFrame]:
         "category_sales": aggregates.category_sales(lines), "product_sales": aggregates.product_sales(lines)}
 
 
-def load_sales(spark: SparkSession, raw: DataFrame, root: str, excluded_store: str = None) -> DataFrame:
-    """Validate, type and load ``raw`` under ``root``; returns the row counts per table for the loaded days.
+def load_sales(spark: SparkSession, raw: DataFrame, root: str, excluded_store: str = None, load_id: str = None) -> DataFrame:
+    """Validate, type and load ``raw`` under ``root``; returns (table_name, row_count) of what the load wrote.
 
-    The raw text is read for its dates and for the fact table. The aggregates read only the loaded days
-    back from the fact table. Repeating a load gives the same tables.
+    Dated rows replace their days in billing_data and, summed, in the four aggregate tables. Rows without a valid
+    date (undated_data), rows that fail a rule (rejected_data), the validation counts (load_validation) and the null
+    counts (load_profile) are kept apart for each load. ``load_id`` names the source; without one it is made of the
+    rows, so the same load again replaces only its own rows and gives the same tables.
     """
     validate.require_columns(raw, REQUIRED_SALES_COLUMNS)
-    fact_path = f"{root.rstrip('/')}/billing_data"
-    typed = transform_sales(validate.drop_invalid(raw))
+    root = root.rstrip("/")
+    load_id = load_id or load_fingerprint(raw)
+    # Typed once and read back by column, so that the raw text is not read again for each table.
+    typed_path = scratch_path(spark, "typed")
+    transform_sales(validate.drop_invalid(raw)).write.parquet(typed_path)
+    typed = spark.read.parquet(typed_path)
     dates = stage(aggregates.dates_in_load(typed))
     validate.guard_not_empty(dates, "dated sales")
-    overwrite_dates(typed, fact_path)
-
-    loaded = spark.read.parquet(fact_path).join(dates, "orderDate", "left_semi")
+    rejected = validate.quarantine(raw)
+    rejected = rejected.select("failed_rules", *[
+        (F.col(c) if c in rejected.columns else F.lit(None)).cast("string").alias(c) for c in SALES_COLUMNS])
+    kept = {
+        "undated_data": typed.where("orderDate is null"), "rejected_data": rejected,
+        "load_validation": validate.validation_report(raw), "load_profile": validate.load_profile(typed)}
+    kept = {name: overwrite_load(df, f"{root}/{name}", load_id) for name, df in kept.items()}
+    overwrite_dates(typed.where("orderDate is not null"), f"{root}/billing_data")
+
+    loaded = spark.read.parquet(f"{root}/billing_data").join(dates, "orderDate", "left_semi")
     lines = loaded.where("totalProductPrice is not null")
+    validate.validate_agg_input(lines)
     if excluded_store is not None:
         lines = validate.exclude_store(lines, excluded_store)
-    overwrite_aggregates(aggregate_tables(lines), root, dates.select(F.col("orderDate").alias("orderdate")))
-    return loaded.agg(F.lit("billing_data").alias("table_name"), F.count("*").alias("row_count"))
+    days = dates.select(F.col("orderDate").alias("orderdate"))
+    names = aggregate_tables(lines)
+    overwrite_aggregates(names, root, days)
+    written = {name: spark.read.parquet(f"{root}/{name}").join(days, "orderdate", "left_semi") for name in names}
+    if excluded_store is not None:
+        validate.assert_store_absent(written["store_sales"], "storename", excluded_store)
+    return etl_rows_loaded({"billing_data": loaded, **kept, **written})

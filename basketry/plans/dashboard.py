@@ -1,6 +1,6 @@
 """The daily report over the stored aggregate tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.operators import aggregates, comparisons
 from basketry.sources.tables import last_date
@@ -13,9 +13,10 @@ def daily_dashboard(spark: SparkSession, root: str, end=None, store_days: int =
     """
     tables = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}")
               for n in ("store_sales", "category_sales", "brand_sales", "product_sales")}
+    until = lambda df: df if end is None else df.where(F.col("orderdate") <= end)
     return {
-        "last_date": last_date(tables["store_sales"], "orderdate"),
-        "total": aggregates.total_sales_growth(tables["store_sales"]),
+        "last_date": last_date(until(tables["store_sales"]), "orderdate"),
+        "total": aggregates.total_sales_growth(until(tables["store_sales"])),
         "stores": comparisons.store_daily(tables["store_sales"], end, store_days),
         "categories": comparisons.category_daily(tables["category_sales"], end),
         "brands": comparisons.brand_daily(tables["brand_sales"], end),

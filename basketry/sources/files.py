@@ -12,14 +12,48 @@ STORE_FILE = r"/(?:store_file=)?([^/=]+)\.csv(?:/part-[^/]+)?$"
 BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 
 
-def read_sales_csv(spark: SparkSession, path, columns=None) -> DataFrame:
-    """Sales CSV with every column as text. Column names are taken from the header."""
-    reader = spark.read.option("header", True).option("inferSchema", False)
+# One cell: text in quotes, which may hold commas, doubled quotes and line breaks, or plain text, or nothing.
+CELL = r'(?:"(?:[^"]++|"")*+"?[^,\r\n]*+|[^,"\r\n][^,\r\n]*+)?+'
+RECORD = rf"{CELL}(?:,{CELL})*+"
+
+
+def read_sales_csv(spark: SparkSession, path, columns=None, multi_line: bool = True) -> DataFrame:
+    """Sales CSV with every column as text. Column names are taken from the header.
+
+    Line breaks inside quotes belong to their cell, so a file is read by one task. Files that are known to have
+    none are split over tasks with ``multi_line=False``.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", multi_line)
     if columns is not None:
         reader = reader.schema(all_strings(columns)).option("enforceSchema", False)
     return reader.csv(path)
 
 
+def csv_records(text: Column) -> Column:
+    """The records of a CSV text without its blank lines."""
+    return F.filter(F.regexp_extract_all(text, F.lit(RECORD), F.lit(0)), lambda r: F.trim(r) != "")
+
+
+def csv_cells(record: Column) -> Column:
+    """The cells of one record, however many; a cell without text and quotes is null."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({CELL})"), F.lit(1))
+    unquoted = lambda c: F.replace(F.regexp_replace(c, '^"((?:[^"]++|"")*+)"?', "$1"), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), unquoted(c)).when(c != "", c))
+
+
+def _rows_by_header(bodies: DataFrame, source: str, columns) -> DataFrame:
+    """Rows of CSV texts (source, body) as text columns, each found by its name in the header of its own text."""
+    records = bodies.select(source, csv_records(F.regexp_replace("body", "^﻿", "")).alias("records"))
+    headed = records.select(
+        source, csv_cells(F.get("records", F.lit(0))).alias("names"),
+        F.slice("records", 2, F.greatest(F.size("records") - 1, F.lit(0))).alias("records"))
+    placed = headed.select(
+        source, *[F.array_position("names", F.lit(c)).cast("int").alias(f"at_{i}") for i, c in enumerate(columns)],
+        F.explode("records").alias("record"))
+    parsed = placed.withColumn("cells", csv_cells(F.col("record")))
+    return parsed.select(source, *[F.get("cells", F.col(f"at_{i}") - 1).alias(c) for i, c in enumerate(columns)])
+
+
 def _payload_text(raw: Column) -> Column:
     """Body of one download: the decoded text if the body is base64, else the body itself."""
     packed = F.regexp_replace(raw, r"\s", "")
@@ -27,29 +61,17 @@ def _payload_text(raw: Column) -> Column:
     return F.coalesce(F.decode(decoded, "UTF-8"), raw)
 
 
-def decode_report_payloads(spark: SparkSession, path, columns, max_columns: int = 64) -> DataFrame:
+def decode_report_payloads(spark: SparkSession, path, columns) -> DataFrame:
     """Downloads that are CSV or base64 of CSV, as rows of text columns.
 
-    A base64 body can only be decoded as one value, so each download is one row until its lines
+    A base64 body can only be decoded as one value, so each download is one row until its records
     are split; downloads are spread over tasks. The columns of each download are found by its own
-    header, in any order; columns it lacks are null. Plain CSV of any size goes through
-    read_sales_csv, which splits files.
+    header, in any order and of any number; columns it lacks are null. Line breaks inside quotes are kept.
+    Plain CSV of any size goes through read_sales_csv.
     """
     bodies = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("source_file"), _payload_text(F.col("value")).alias("body"))
-    wide = ", ".join(f"c{i} string" for i in range(max_columns))
-    cells = lambda record: F.array(*[F.col(record)[f"c{i}"] for i in range(max_columns)])
-    lines = bodies.select("source_file", F.split(F.regexp_replace("body", "^\ufeff", ""), r"\r?\n").alias("lines"))
-    # The header is parsed once per download; each row then only looks up positions.
-    headed = lines.withColumn("header", F.from_csv(F.element_at("lines", 1), F.lit(wide))).select(
-        "source_file", cells("header").alias("names"),
-        F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))).alias("lines"))
-    placed = headed.select(
-        "source_file", *[F.array_position("names", c).cast("int").alias(f"at_{i}") for i, c in enumerate(columns)],
-        F.explode("lines").alias("line")).where(F.trim("line") != "")
-    parsed = placed.withColumn("record", F.from_csv("line", F.lit(wide))).withColumn("cells", cells("record"))
-    return parsed.select("source_file", *[
-        F.get("cells", F.col(f"at_{i}") - 1).alias(c) for i, c in enumerate(columns)])
+    return _rows_by_header(bodies, "source_file", columns)
 
 
 def store_file_key(store) -> Column:
@@ -62,16 +84,16 @@ def read_store_csv_dir(spark: SparkSession, path: str, columns, numeric_columns=
     """All per-store CSV files of a folder in one scan, with storeName taken from the file name.
 
     A store may also be a folder ``<store>.csv`` (or ``store_file=<store>.csv``) of part files.
-    With ``stores`` (storeName), the file key is turned back into the real store name and files of
+    Columns are found by the header of each file, so files may hold others and in any order; columns that a file
+    lacks are null. Each file is read as one text. With ``stores`` (storeName), the file key is turned back into the real store name and files of
     unknown stores are left out; a store without a file has no rows.
     """
     columns = [c for c in columns if c != "storeName"]
-    found = spark.read.option("header", True).schema(all_strings(columns)).option(
-        "enforceSchema", False).option("recursiveFileLookup", True).csv(path)
     file_path = F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")
-    key = F.regexp_extract(file_path, STORE_FILE, 1)
-    typed = found.select(
-        key.alias("store_key"),
+    bodies = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
+        F.regexp_extract(file_path, STORE_FILE, 1).alias("store_key"), F.col("value").alias("body"))
+    typed = _rows_by_header(bodies, "store_key", columns).select(
+        "store_key",
         *[zero_fill(c).alias(c) if c in numeric_columns else F.col(c) for c in columns])
     if stores is None:
         return typed.withColumnRenamed("store_key", "storeName")

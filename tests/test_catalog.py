@@ -13,7 +13,8 @@ CHECKED = [
     "brand_sales", "brand_daily", "product_monthly", "weekly_product", "weekly_comparison", "validation_report",
     "transform_sales", "headline_signal", "gem_candidates", "stock_alerts", "dominant_pattern", "rtv_top_reason",
     "rename_products", "consolidate_sales", "compare_thresholds_loose", "embedding_clusters_loose", "overwrite_dates",
-    "upsert_snapshot", "delivery_manifest",
+    "upsert_snapshot", "delivery_manifest", "daily_load", "decode_report_payloads", "read_sales_csv", "read_store_csv_dir",
+    "overwrite_aggregates", "analyze_groups", "consolidation_impact", "similar_products_loose",
 ]
 
 

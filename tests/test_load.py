@@ -175,7 +175,9 @@ def test_daily_load_end_to_end(spark, sf_dir, tmp_path):
     for _ in range(2):
         daily_load.load_sales(spark, raw, root, excluded_store="Head Office")
     fact = spark.read.parquet(f"{root}/billing_data")
-    assert fact.count() == validate.validation_report(raw).first()["remaining_rows"]
+    undated, rejected = (spark.read.parquet(f"{root}/{n}").count() for n in ("undated_data", "rejected_data"))
+    assert rejected == validate.validation_report(raw).first()["dropped_rows"]
+    assert fact.count() + undated == validate.validation_report(raw).first()["remaining_rows"]
     sums = {n: float(spark.read.parquet(f"{root}/{n}").agg(F.sum("sales")).first()[0])
             for n in ("brand_sales", "store_sales", "category_sales", "product_sales")}
     used = fact.where("orderDate is not null and storeName <> 'Head Office'").agg(F.sum("totalProductPrice")).first()[0]
@@ -185,6 +187,56 @@ def test_daily_load_end_to_end(spark, sf_dir, tmp_path):
     assert reports["stores"].where("storename = 'Head Office'").count() == 0
 
 
+def test_loads_keep_the_undated_rows_of_others(spark, tmp_path):
+    fields = "invoice string, orderDate string, quantity string, totalProductPrice string, storeName string, brandName string, subCategoryOf string, productName string, productId string, orderType string"
+    load = lambda n: spark.createDataFrame([(f"{n}{i}", day, "1", "2.5", "S", "b", "c", "p", "7", "online") for i, day in enumerate(("2024-01-0" + n, "soon", ""))], fields)
+    for n in ("1", "2", "1"):
+        counts = {r[0]: r[1] for r in daily_load.load_sales(spark, load(n), str(tmp_path)).collect()}
+    assert sorted(r["invoice"] for r in spark.read.parquet(f"{tmp_path}/undated_data").collect()) == ["11", "12", "21", "22"]
+    assert spark.read.parquet(f"{tmp_path}/billing_data").count() == 2
+    assert (counts["billing_data"], counts["undated_data"], counts["rejected_data"], counts["brand_sales"]) == (1, 2, 0, 1)
+
+
+def test_wide_downloads_and_quoted_line_breaks(spark, tmp_path):
+    wide = [f"c{i}" for i in range(100)]
+    body = "\n".join([",".join(wide + ["note"]), "", ",".join(["v"] * 100 + ['"two\r\nlines, ""quoted"""']), ",".join([""] * 100 + ['5" pipe'])])
+    (tmp_path / "w.csv").write_bytes(("\ufeff" + body + "\n").encode())
+    rows = files.decode_report_payloads(spark, str(tmp_path), ["note", "c99", "c0", "absent"]).collect()
+    assert {tuple(r)[1:] for r in rows} == {('two\r\nlines, "quoted"', "v", "v", None), ('5" pipe', None, None, None)}
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    (plain / "s.csv").write_text('invoice,note\nI1,"a\nb"\nI2,"say ""x"""\n')
+    assert {tuple(r) for r in files.read_sales_csv(spark, str(plain)).collect()} == {("I1", "a\nb"), ("I2", 'say "x"')}
+    stores = tmp_path / "stores"
+    stores.mkdir()
+    (stores / "A.csv").write_text("extra,quantity,productName\nx,2,P\n")
+    assert [tuple(r) for r in files.read_store_csv_dir(spark, str(stores), ["productName", "quantity"], ["quantity"]).collect()] == [("A", "P", 2.0)]
+
+
+def test_rule_tables_give_the_names_of_rule_lists(spark):
+    rules = [("a", "b"), ("b", "c"), ("x", "a"), ("c", "d"), ("d", "a"), ("a", "e"), ("k", "k"), ("b", "z")]
+    rules += [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("n40", "n0")]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "seq int, old string, new string")
+    names = {old: old for old, _ in rules}
+    for old, new in rules:
+        names = {start: new if name == old else name for start, name in names.items()}
+    assert {r["old"]: r["new"] for r in transform.resolve_rule_table(table).collect()} == names == transform.resolve_rules(rules)
+
+
+def test_null_names_have_no_base_in_the_month(spark):
+    from basketry.operators import comparisons
+
+    lines = spark.createDataFrame(
+        [(None, dt.date(2024, 3, 5), 40.0), (None, dt.date(2024, 4, 5), 10.0), ("A", dt.date(2024, 2, 5), 8.0), ("A", dt.date(2024, 4, 1), 6.0)],
+        "storeName string, orderDate date, totalProductPrice double")
+    april = dt.date(2024, 4, 1)
+    found = {(r["storeName"], r["total_sales"], r["avg_monthly_sales"]) for r in comparisons.store_monthly(lines, april).collect()}
+    assert found == {(None, 10.0, 0.0), ("A", 6.0, 4.0)}
+    sales = lines.toDF("subcategoryof", "orderdate", "sales")
+    found = [(r["subcategoryof"], r["total_sales"], r["avg_monthly_sales"]) for r in comparisons.category_monthly(sales, april).collect()]
+    assert sorted(found, key=str) == sorted([(None, 10.0, 0.0), (None, 0.0, 20.0), ("A", 6.0, 4.0)], key=str)
+
+
 def test_weekly_job_uses_earlier_snapshots(spark, sf_dir, tmp_path):
     root = str(tmp_path)
     lines = star.billing(spark, sf_dir)

@@ -158,14 +158,12 @@ def test_consolidation_keeps_totals(spark):
     assert (impact["reduction_pct"], impact["preserved_pct"]) == (33.3, 100.0)
 
 
-def test_group_listing_is_whole(spark, monkeypatch):
-    monkeypatch.setattr(similarity, "NAMES_PER_LISTING", 10)
+def test_group_listing_is_whole(spark):
     groups = spark.createDataFrame([(f"n{i:03}", "g") for i in range(95)] + [("z", "z")], "productName string, group_id string")
     reps = spark.createDataFrame([("g", "n000", 95), ("z", "z", 1)], "group_id string, representative string, group_size bigint")
     rows = similarity.analyze_groups(groups, reps).collect()
-    listed = [n for r in rows if r["group_id"] == "g" for n in r["products_in_group"].split(" | ")]
-    assert sorted(listed) == [f"n{i:03}" for i in range(95)]
-    assert len(rows) > 5
+    assert sorted((r["group_id"], r["position"], r["productName"]) for r in rows) == [
+        *[("g", i + 1, f"n{i:03}") for i in range(95)], ("z", 1, "z")]
 
 
 def test_save_and_load(spark, tmp_path):
