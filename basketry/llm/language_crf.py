@@ -31,8 +31,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text) -> list:
-    """Runs of letters of a text, in lower case."""
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters of a text, in lower case; none if it only has signs such as superscript figures."""
+    words = _WORD.findall(text.lower()) if text else []
+    return words if any(c.isalpha() for w in words for c in w) else []
 
 
 def word_features(word: str, lexicon) -> list:
