@@ -27,6 +27,7 @@ CHARS_AT_ONCE = 4_000_000
 WORDS_KEPT = 250_000
 LONGEST_WORD = 64
 
+_ALL_BITS = (1 << 64) - 1
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -36,16 +37,48 @@ def words_of(text) -> list:
     return words if any(c.isalpha() for w in words for c in w) else []
 
 
-def word_features(word: str, lexicon) -> list:
-    """Hashed affix, n-gram and lexicon features. Of a word of more than 64 letters the two ends are used."""
-    if len(word) > LONGEST_WORD:
-        word = word[:LONGEST_WORD // 2] + word[-LONGEST_WORD // 2:]
-    names = ["p" + word[:k] for k in (1, 2, 3)] + ["s" + word[-k:] for k in (1, 2, 3, 4)]
-    marked = f"^{word}$"
-    names += [marked[i:i + 3] for i in range(len(marked) - 2)]
-    if word in lexicon:
-        names.append("w" + word)
-    return [zlib.crc32(n.encode()) & (1 << FEATURE_BITS) - 1 for n in names]
+def _slots(kind: int, *codes) -> np.ndarray:
+    """Feature numbers of tuples of code points, hashed together with their kind."""
+    mixed = np.full(len(codes[0]), kind * 0x9E3779B97F4A7C15 & _ALL_BITS, np.uint64)
+    for c in codes:
+        mixed = (mixed ^ c) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+    return (mixed & np.uint64((1 << FEATURE_BITS) - 1)).astype(np.int64)
+
+
+def word_features(words: list, lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, word number) of all hashed affix, n-gram and lexicon features, ordered by word. Of a word of
+    more than 64 letters the two ends are used."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    half = LONGEST_WORD // 2
+    marked = [f"^{w}$" if len(w) <= LONGEST_WORD else f"^{w[:half]}{w[-half:]}$" for w in words]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    stops = np.cumsum(sizes)
+    first, letters, number = stops - sizes + 1, sizes - 2, np.arange(len(words))
+    # An n-gram starts at every place of a marked word but its last two.
+    starts = np.arange(len(codes) - 2)
+    in_word = np.ones(len(codes), bool)
+    in_word[stops - 1] = in_word[stops - 2] = False
+    starts = starts[in_word[:-2]]
+    found = [(_slots(0, codes[starts], codes[starts + 1], codes[starts + 2]), np.repeat(number, letters))]
+    for k in (1, 2, 3, 4):
+        has = letters >= k
+        if k < 4:
+            found.append((_slots(k, *[codes[first[has] + i] for i in range(k)]), number[has]))
+        found.append((_slots(8 + k, *[codes[stops[has] - 2 - i] for i in range(k)]), number[has]))
+    listed = [i for i, w in enumerate(words) if w in lexicon]
+    whole = np.array([zlib.crc32(words[i].encode("utf-8", "surrogatepass")) for i in listed], np.uint64)
+    found.append((_slots(16, whole), np.array(listed, np.int64)))
+    features, owner = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(owner, kind="stable")
+    return features[order], owner[order]
+
+
+def sums_by(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive rows in groups of these sizes, none of which is empty."""
+    return np.add.reduceat(values, np.cumsum(sizes) - sizes, axis=0) if len(sizes) else np.zeros((0, values.shape[1]))
 
 
 def forward_backward(psi: np.ndarray, step: np.ndarray):
@@ -80,10 +113,9 @@ class LanguageModel:
 
     def word_scores(self, words: list) -> np.ndarray:
         """Potentials of each word's labels, the largest being one."""
-        features = [word_features(w, self.lexicon) for w in words]
-        sizes = np.array([len(f) for f in features])
-        flat = self.weights[np.concatenate(features)]
-        scores = np.add.reduceat(flat, np.cumsum(sizes) - sizes, axis=0) / np.sqrt(sizes)[:, None]
+        flat, owner = word_features(words, self.lexicon)
+        sizes = np.bincount(owner, minlength=len(words))
+        scores = sums_by(self.weights[flat], sizes) / np.sqrt(sizes)[:, None]
         return np.exp(scores - scores.max(1, keepdims=True))
 
 
@@ -111,22 +143,24 @@ def fit(texts: list, labels: list, rounds: int = ROUNDS, seed: int = 7) -> Langu
     if n == 0:  # less than one sequence: repeat what there is
         ids, gold, n = np.resize(ids, SEQUENCE), np.resize(gold, SEQUENCE), int(len(ids) > 0)
     ids, gold, k = ids[:n * SEQUENCE], gold[:n * SEQUENCE], len(names)
-    features = [word_features(w, lexicon) for w in vocabulary]
-    sizes = np.array([len(f) for f in features], np.int64)
-    flat = np.concatenate(features) if features else np.zeros(0, np.int64)
-    owner, scale = np.repeat(np.arange(len(sizes)), sizes), 1 / np.sqrt(np.maximum(sizes, 1))
+    flat, owner = word_features(list(vocabulary), lexicon)
+    sizes = np.bincount(owner, minlength=len(vocabulary))
+    scale = 1 / np.sqrt(np.maximum(sizes, 1))
+    used, uses = np.unique(flat, return_counts=True)
+    by_feature = owner[np.argsort(flat, kind="stable")]
     weights, step = np.zeros((1 << FEATURE_BITS, k)), np.zeros((k, k))
     moments = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(step), np.zeros_like(step)]
     truth = np.eye(k)[gold].reshape(n, SEQUENCE, k)
     steps_seen = np.zeros((k, k))
     np.add.at(steps_seen, (truth.argmax(2)[:, :-1].ravel(), truth.argmax(2)[:, 1:].ravel()), 1)
     for t in range(1, rounds + 1 if n else 1):
-        scores = np.stack([np.bincount(owner, weights[flat, y], len(sizes)) for y in range(k)], 1) * scale[:, None]
+        scores = sums_by(weights[flat], sizes) * scale[:, None]
         psi = scores[ids].reshape(n, SEQUENCE, k)
         gamma, pairs = forward_backward(np.exp(psi - psi.max(2, keepdims=True)), np.exp(step))
         wrong = (gamma - truth).reshape(-1, k)
         by_word = np.stack([np.bincount(ids, wrong[:, y], len(sizes)) for y in range(k)], 1) * scale[:, None]
-        slope = np.stack([np.bincount(flat, by_word[owner, y], 1 << FEATURE_BITS) for y in range(k)], 1) / n + 1e-5 * weights
+        slope = 1e-5 * weights
+        slope[used] += sums_by(by_word[by_feature], uses) / n
         for value, g, first, second in ((weights, slope, *moments[:2]), (step, (pairs - steps_seen) / n, *moments[2:])):
             first += 0.1 * (g - first)
             second += 0.01 * (g * g - second)
