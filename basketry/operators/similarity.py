@@ -174,8 +174,13 @@ def similar_products(names: DataFrame, threshold: float = THRESHOLD, k: int = TO
         "productName", "position", "similar_product", "similarity")
 
 
+# Nodes that a task of the spanning forest holds in memory.
+FOREST_NODES = 1_000_000
+
+
 def _spanning_edges(batches):
-    """Keep only the pairs that join two parts not yet joined in this partition (union-find)."""
+    """Keep only the pairs that join two parts not yet joined in this partition (union-find). Beyond a bound of
+    nodes it starts afresh, which keeps more pairs but never loses a link."""
     parent = {}
 
     def root(x):
@@ -186,6 +191,8 @@ def _spanning_edges(batches):
 
     for batch in batches:
         kept = []
+        if len(parent) > FOREST_NODES:
+            parent.clear()
         for a, b in zip(batch["vec_a"], batch["vec_b"]):
             ra, rb = root(a), root(b)
             if ra != rb:

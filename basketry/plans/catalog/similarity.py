@@ -159,24 +159,46 @@ def _saved(s, d):
     found, chosen = _mapping(s, d)
     similarity.save_groups(path, found, chosen, LOOSE, dt.date(2024, 4, 30))
     groups, representatives, settings = similarity.load_groups(s, path)
-    return settings.join(groups.join(representatives, "group_id"), F.col("threshold") > 0).select(
-        "productName", "representative", "threshold", "trained_on", "product_count")
+    of_run = [settings.select(c).scalar().alias(c) for c in ("threshold", "trained_on", "product_count")]
+    return groups.join(representatives, "group_id").select("productName", "representative", *of_run)
 
 
 query("save_and_load_groups", _saved, _MAP + f"""\nselect "productName", representative, {LOOSE}::double as threshold,
  date '2024-04-30' as trained_on, (select count(*) from texts) as product_count from product_map""")
 
-query("fuzzy_name_clusters", lambda s, d: clusters.fuzzy_name_clusters(names(s, d)))
+
+def _leaders_sql():
+    """Leaders among the rows 1.. of v, one after the other; near lists the similar earlier rows of a row."""
+    return """steps(i, leaders) as (select cast(0 as bigint), cast([] as bigint[]) union all
+ select i + 1, case when coalesce(len(list_intersect(leaders, earlier)), 0) > 0 then leaders else list_append(leaders, i + 1) end
+ from steps left join near on near.b = i + 1 where i < (select count(*) from v)),
+ final as (select leaders from steps where i = (select count(*) from v))"""
+
+
+# The longest common subsequence, by rows over the characters of one text: the best so far, or one more where both match.
+_BETTER = ("list_transform(generate_series(1, len(best)), lambda j: "
+           "greatest(best[j], case when hit[j] = 1 then coalesce(best[j - 1], 0) + 1 else 0 end))")
+_FUZZY_SQL = f"""named as (select distinct "productName", trim(replace(translate(lower("productName"), '-™®', ' '), '&', 'and')) as clean_name
+ from billing where "productName" is not null),
+ keyed as (select *, array_to_string(list_sort(regexp_split_to_array(clean_name, '\\s+')), ' ') as text from named),
+ v as (select text, min(clean_name) as id, row_number() over (order by min(clean_name)) as rn from keyed group by text),
+ close as (select a.rn as a, b.rn as b, a.text as x, b.text as y, length(a.text) + length(b.text) as n from v a join v b on a.rn < b.rn
+ where levenshtein(a.text, b.text) <= floor(0.1 * n + 1e-9)),
+ hits as (select a, b, n, y, list_transform(string_split(x, ''), lambda c: list_transform(string_split(y, ''), lambda d: cast(c = d as int))) as m from close),
+ scored as (select a, b, n, list_max(list_reduce(m, lambda best, hit: list_transform(generate_series(1, len(best)),
+ lambda i: list_max(({_BETTER})[1:i])), list_transform(string_split(y, ''), lambda d: 0))) as common from hits),
+ near as (select b, list(a) as earlier from scored where 200 * common >= {clusters.FUZZY_THRESHOLD} * n group by 1)"""
+query("fuzzy_name_clusters", lambda s, d: clusters.fuzzy_name_clusters(names(s, d)),
+      with_(BILLING, _FUZZY_SQL, _leaders_sql()).rstrip().replace("with ", "with recursive ", 1) + """
+ select "productName", clean_name, coalesce(l.id, v.id) as cluster from keyed join v using (text) left join near on near.b = v.rn
+ cross join final left join v l on l.rn = list_min(list_intersect(leaders, earlier))""")
 
 
 def _vectors_sql(t):
     return f"""with recursive v as (select vec_id, cast(embedding as double[]) as e, row_number() over (order by vec_id) as rn from embeddings),
  near as (select b.rn as b, list(a.rn) as earlier from v a join v b on a.rn < b.rn
  where list_cosine_similarity(a.e, b.e) >= {t} group by 1),
- steps(i, leaders) as (select cast(0 as bigint), cast([] as bigint[]) union all
- select i + 1, case when coalesce(len(list_intersect(leaders, earlier)), 0) > 0 then leaders else list_append(leaders, i + 1) end
- from steps left join near on near.b = i + 1 where i < (select count(*) from v)),
- final as (select leaders from steps where i = (select count(*) from v))
+ {_leaders_sql()}
  select v.vec_id as id, coalesce(l.vec_id, v.vec_id) as cluster from v left join near on near.b = v.rn cross join final
  left join v l on l.rn = list_min(list_intersect(leaders, earlier))"""
 
