@@ -225,14 +225,14 @@ def test_fuzzy_order_column(spark):
     assert got == {"abcdefghix"}
 
 
-@pytest.mark.parametrize("threshold, pivots, block", [(0.9, 8, 2000), (0.5, 32, 7), (0.2, 4, 11)])
-def test_embedding_clusters(spark, threshold, pivots, block):
+@pytest.mark.parametrize("threshold, block", [(0.9, 2000), (0.5, 35), (0.2, 50)])
+def test_embedding_clusters(spark, threshold, block):
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(6, 8))
     rows = [(int(i), [float(x) for x in centres[i % 6] + 0.25 * rng.normal(size=8)]) for i in range(120)]
     rows += [(200 + i, rows[5][1]) for i in range(40)] + [(300, [0.0] * 8), (301, [0.0] * 8)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(6)
-    got = {r["id"]: r["cluster"] for r in clusters.embedding_clusters(df, threshold, pivots=pivots, rows_per_block=block).collect()}
+    got = {r["id"]: r["cluster"] for r in clusters.embedding_clusters(df, threshold, rows_per_block=block).collect()}
     unit = {i: np.float32(v) / (np.linalg.norm(np.float32(v)) or 1) for i, v in rows}
     want = plain_leaders(sorted(unit), lambda a, b: float(unit[a] @ unit[b]) >= threshold)
     want[301] = 300  # equal vectors share a cluster, also empty ones
