@@ -22,8 +22,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.known = {b"": b""}
-        # A tokenizer that lowers all letters gives a word and its lower-case form the same ids; marker strings aside.
-        self.spaces = _SPACES_LOWER if '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"]) else _SPACES
+        # A tokenizer that lowers all letters gives an ASCII word and its lower-case form the same ids; marker strings
+        # aside. Other words are encoded as they are, since it composes letters and marks before it lowers them.
+        self.lowers = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
 
     def _encode(self, words: list) -> dict:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
@@ -32,13 +33,18 @@ class WordEncoder:
     def __call__(self, text) -> bytes:
         """Little-endian unsigned 32-bit ids of a text; nothing for null."""
         data, parts, at = (text or "").encode(), [], 0
-        data = data.translate(_SPACES if b"<|" in data else self.spaces)
+        lowers = self.lowers and b"<|" not in data
+        data = data.translate(_SPACES_LOWER if lowers and data.isascii() else _SPACES)
+        lowers = lowers and not data.isascii()
         while at < len(data):
             end = len(data) if len(data) - at <= PIECE else data.rfind(b" ", at, at + PIECE)
             if end <= at:  # a word longer than a piece
                 end = data.find(b" ", at + PIECE)
                 end = len(data) if end < 0 else end
-            parts.append(self._piece(data[at:end].split(b" ")))
+            words = data[at:end].split(b" ")
+            if lowers:
+                words = [low if low.isascii() else w for w, low in zip(words, data[at:end].translate(_SPACES_LOWER).split(b" "))]
+            parts.append(self._piece(words))
             at = end + 1
         return b"".join(parts)
 

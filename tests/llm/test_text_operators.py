@@ -164,6 +164,15 @@ def test_packing(awkward, make_docs):
     assert len(places) == -(-sum(r["length"] for r in rows) // 4096)
 
 
+def test_capitals_with_marks_are_composed_before_they_are_lowered():
+    from tokenizers import Tokenizer
+
+    tokenizer, encode = Tokenizer.from_file(tokenizer_path()), encoder(tokenizer_path())
+    pairs = ["H\u0331", "J\u030C", "T\u0308", "W\u030A", "Y\u030A"]
+    for text in [*pairs, " ".join(pairs), f"Plain WORDS before\t{' Mixed '.join(pairs)} and AFTER", "ÀÉ Straße İI " + pairs[0].lower()]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_plan_places_all_and_fills_gaps():
     assert packing.plan_patterns({4000: 5, 96: 2, 50: 2, 46: 2, 30: 1, 33: 2}) and len(packing.plan_patterns({})) == 0
     counts = Counter(np.random.default_rng(5).integers(1, 4097, 5000).tolist()) + Counter({1365: 3000})
