@@ -11,12 +11,13 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from basketry.llm.common import arrow_schema, cover, renamed, spans_of, stage
 
 WINDOW = 10
 PATTERN_BYTES_PER_BLOCK = 64 << 20
+BYTES_PER_PATTERN = 256  # besides its own bytes: Python objects, bucket and table entries
 SEARCH_BYTES = 4 << 20
 LANE = 2048
 BLOCK = 6
@@ -25,6 +26,8 @@ TABLE_BITS = 20
 _TABLE = bytes(
     c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_RUNS = StructType().add("starts", ArrayType(IntegerType())).add("lengths", ArrayType(IntegerType()))
+_FOUND = StructType([*StructType().add("n_words", "long"), *_RUNS.fields]).add("patterns", ArrayType(LongType()))
 
 
 def plain_words(text) -> list:
@@ -100,7 +103,7 @@ class WuManber:
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
-    """(pattern binary, items): each distinct window with the ids, as strings, of its items."""
+    """(item, pattern binary): the windows of each item, with its id as a string."""
     source = renamed(items, id=id_col, text=text_col)
     schema = StructType().add("item", "string").add("pattern", "binary")
 
@@ -116,16 +119,19 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(patterns, pa.binary())], schema=kinds)
 
     rows = source.select(F.col("id").cast("string").alias("id"), "text").mapInArrow(cut, schema)
-    return rows.where("item is not null").groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return rows.where("item is not null").distinct()
 
 
-def _search(docs: DataFrame, patterns: list, names: list) -> DataFrame:
-    """``docs`` (id, text, starts, lengths, items) with the hit word runs and items of these patterns added."""
-    schema, sizes = docs.schema, [p.count(b" ") - 1 for p in patterns]
+def _search(docs: DataFrame, block) -> DataFrame:
+    """``docs`` (.., text, ..) and n_words, starts, lengths, patterns: hit word runs and the ids of the patterns of
+    a block found. ``block`` is a broadcast (pattern ids, patterns)."""
+    schema = StructType([*docs.schema.fields, *_FOUND.fields])
     held = {}
 
     def run(batches):
         kinds = arrow_schema(schema)
+        names, patterns = block.value
+        sizes = [p.count(b" ") - 1 for p in patterns]
         if patterns and not held:
             # Short patterns allow short jumps only, so they are searched apart.
             for part in ([i for i, p in enumerate(patterns) if (len(p) < 32) == short] for short in (True, False)):
@@ -133,7 +139,7 @@ def _search(docs: DataFrame, patterns: list, names: list) -> DataFrame:
                     held[len(held)] = part, WuManber([patterns[i] for i in part])
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            out = {n: batch.column(n).to_pylist() for n in ("starts", "lengths", "items", "n_words")}
+            out = {"n_words": [0] * len(texts), **{n: [[] for _ in texts] for n in ("starts", "lengths", "patterns")}}
             at = 0
             while at < len(texts):
                 held_bytes, group, words_of = 0, at, []
@@ -156,46 +162,85 @@ def _search(docs: DataFrame, patterns: list, names: list) -> DataFrame:
                 for (i, _), k, first in zip(found, owner.tolist(), index.tolist()):
                     hits[group + k].append((i, first))
                 for k, pairs in hits.items():
-                    covered = cover(out["n_words"][k], [*out["starts"][k], *[f for _, f in pairs]],
-                                    [*out["lengths"][k], *[sizes[i] for i, _ in pairs]])
-                    starts, ends = spans_of(covered)
+                    starts, ends = spans_of(cover(out["n_words"][k], [f for _, f in pairs], [sizes[i] for i, _ in pairs]))
                     out["starts"][k], out["lengths"][k] = starts, ends - starts
-                    out["items"][k] = sorted({*out["items"][k], *[x for i in {i for i, _ in pairs} for x in names[i]]})
+                    out["patterns"][k] = [names[i] for i in {i for i, _ in pairs}]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text"),
-                 *[pa.array(out[n], kinds.field(n).type) for n in schema.names[2:]]], schema=kinds)
+                [*batch.columns, *[pa.array(out[n], kinds.field(n).type) for n in _FOUND.names]], schema=kinds)
 
     return docs.mapInArrow(run, schema)
 
 
+def _marked(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, block_bytes: int):
+    """(rows, owners): rows (row, id, text, n_words, starts, lengths, patterns) of ``docs``, ``id`` being a struct of
+    the other columns, and owners (pattern_id, item)."""
+    spark = docs.sparkSession
+    windows = stage(benchmark_windows(items, item_id, item_text, window), "windows")
+    patterns = stage(windows.select("pattern").distinct().withColumn("pattern_id", F.monotonically_increasing_id()), "patterns")
+    owners = stage(windows.join(patterns, "pattern").select("pattern_id", "item"), "pattern-items")
+    total = patterns.agg(F.sum(F.length("pattern") + BYTES_PER_PATTERN).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-total * 5 // 4 // block_bytes))
+    source = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("id"), F.col(f"`{text_col}`").alias("text"))
+
+    def searched(source, number):
+        rows = patterns.where(F.expr(f"pmod(xxhash64(pattern), {blocks}) = {number}")).collect()
+        block = spark.sparkContext.broadcast(([r["pattern_id"] for r in rows], [bytes(r["pattern"]) for r in rows]))
+        del rows
+        found = _search(source, block)
+        found = stage(found if number == 0 else found.where("size(lengths) > 0").drop("text", "n_words"), "block-hits")
+        block.destroy()
+        return found
+
+    first = searched(source, 0)
+    if blocks == 1:
+        return first, owners
+    more = None
+    for number in range(1, blocks):
+        found = searched(first.select("row", "text"), number)
+        more = found if more is None else more.unionByName(found)
+    more = more.groupBy("row").agg(*[F.flatten(F.collect_list(c)).alias(f"more_{c}") for c in ("starts", "lengths", "patterns")])
+    joined = first.join(more, "row", "left")
+    merge = F.udf(_merged, _RUNS)
+    runs = F.when(F.col("more_starts").isNull(), F.struct("starts", "lengths")).otherwise(
+        merge("n_words", F.concat("starts", "more_starts"), F.concat("lengths", "more_lengths")))
+    none = F.expr("cast(array() as array<bigint>)")
+    return joined.withColumns({
+        "runs": runs, "patterns": F.concat("patterns", F.coalesce("more_patterns", none))}).select(
+        "row", "id", "text", "n_words", "runs.starts", "runs.lengths", "patterns"), owners
+
+
+def _merged(n_words, starts, lengths):
+    if starts is None:  # no hit in a later block
+        return None
+    starts, ends = spans_of(cover(n_words, starts, lengths))
+    return starts.tolist(), (ends - starts).tolist()
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                        item_text: str = "text", window: int = WINDOW,
                        block_bytes: int = PATTERN_BYTES_PER_BLOCK) -> DataFrame:
     """The columns of ``docs`` and n_words, starts, lengths, items: runs of hit words, and the items found, per row.
 
-    Patterns go to the tasks in blocks whose bytes are counted first, so a benchmark of any size is searched.
-    Null and empty texts have no words. Items with a null id, or without words, are left out; rows of items with
-    the same id count as one item. Each document row gives one row, also with a null or repeated id. Columns of
-    ``docs`` with the name of a new column are replaced.
+    Patterns go to the tasks in blocks whose bytes are counted first; the hits of a block are staged before the next
+    one is read, so the driver and the tasks hold one block at a time. Only pattern ids are searched for; a join
+    gives their items. Null and empty texts have no words. Items with a null id, or without words, are left out;
+    rows of items with the same id count as one item. Each document row gives one row, also with a null or repeated
+    id. Columns of ``docs`` with the name of a new column are replaced.
     """
-    windows = stage(benchmark_windows(items, item_id, item_text, window), "windows")
-    total = windows.agg(F.sum(F.length("pattern") + 64).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-total * 5 // 4 // block_bytes))
+    rows, owners = _marked(docs, items, text_col, item_id, item_text, window, block_bytes)
+    hits = rows.where("size(patterns) > 0").select("row", F.explode("patterns").alias("pattern_id"))
+    named = hits.join(owners, "pattern_id").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
     new = ("n_words", "starts", "lengths", "items")
-    others = [c for c in docs.columns if c != text_col and c not in new]
-    result = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("id"), F.col(f"`{text_col}`").alias("text")).selectExpr(
-        "id", "text", "0L as n_words", "cast(array() as array<int>) as starts", "cast(array() as array<int>) as lengths",
-        "cast(array() as array<string>) as items")
-    for block in range(blocks):
-        rows = windows.where(F.expr(f"pmod(xxhash64(pattern), {blocks}) = {block}")).collect()
-        result = _search(result, [bytes(r["pattern"]) for r in rows], [r["items"] for r in rows])
+    result = rows.join(named, "row", "left").withColumn("items", F.coalesce("items", F.expr("cast(array() as array<string>)")))
     kept = [c for c in docs.columns if c not in new]
     return result.select(*[F.col("text").alias(c) if c == text_col else F.col("id")[c].alias(c) for c in kept], *new)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
+                      item_text: str = "text", window: int = WINDOW, block_bytes: int = PATTERN_BYTES_PER_BLOCK) -> DataFrame:
     """The rows of ``docs`` whose text holds no window of any item, with their own columns only."""
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(f"`{options.get('text_col', 'text')}`").alias("text"))
-    found = find_contamination(marked.select("row", "text"), items, **(options | {"text_col": "text"}))
-    return found.where(F.size("items") == 0).select("row.*")
+    rows, _ = _marked(docs, items, text_col, item_id, item_text, window, block_bytes)
+    return rows.where(F.size("lengths") == 0).select(
+        *[F.col("text").alias(c) if c == text_col else F.col("id")[c].alias(c) for c in docs.columns])
