@@ -9,7 +9,7 @@ from basketry.llm.common import table
 
 def op1_wu_manber(spark, sf_dir):
     found = decontamination.find_contamination(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), null_items=True)
     hit = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n)
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),

@@ -118,8 +118,7 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int
                     patterns.append(plain_text(words[at:at + window]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(patterns, pa.binary())], schema=kinds)
 
-    rows = source.select(F.col("id").cast("string").alias("id"), "text").mapInArrow(cut, schema)
-    return rows.where("item is not null").distinct()
+    return source.select(F.col("id").cast("string").alias("id"), "text").mapInArrow(cut, schema).distinct()
 
 
 def _search(docs: DataFrame, block) -> DataFrame:
@@ -171,10 +170,12 @@ def _search(docs: DataFrame, block) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _marked(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, block_bytes: int):
+def _marked(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, block_bytes: int,
+            null_items: bool):
     """(rows, owners): rows (row, id, text, n_words, starts, lengths, patterns) of ``docs``, ``id`` being a struct of
     the other columns, and owners (pattern_id, item)."""
     spark = docs.sparkSession
+    items = items if null_items else items.where(F.col(f"`{item_id}`").isNotNull())
     windows = stage(benchmark_windows(items, item_id, item_text, window), "windows")
     patterns = stage(windows.select("pattern").distinct().withColumn("pattern_id", F.monotonically_increasing_id()), "patterns")
     owners = stage(windows.join(patterns, "pattern").select("pattern_id", "item"), "pattern-items")
@@ -220,18 +221,20 @@ def _merged(n_words, starts, lengths):
 
 def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                        item_text: str = "text", window: int = WINDOW,
-                       block_bytes: int = PATTERN_BYTES_PER_BLOCK) -> DataFrame:
+                       block_bytes: int = PATTERN_BYTES_PER_BLOCK, null_items: bool = False) -> DataFrame:
     """The columns of ``docs`` and n_words, starts, lengths, items: runs of hit words, and the items found, per row.
 
     Patterns go to the tasks in blocks whose bytes are counted first; the hits of a block are staged before the next
     one is read, so the driver and the tasks hold one block at a time. Only pattern ids are searched for; a join
-    gives their items. Null and empty texts have no words. Items with a null id, or without words, are left out;
-    rows of items with the same id count as one item. Each document row gives one row, also with a null or repeated
-    id. Columns of ``docs`` with the name of a new column are replaced.
+    gives their items. Null and empty texts have no words. Items without words are left out; rows of items
+    with the same id count as one item. With ``null_items`` the items with a null id are searched for like others and
+    are together one null in ``items``, else they are left out. Each document row gives one row, also with a null or
+    repeated id. Columns of ``docs`` with the name of a new column are replaced.
     """
-    rows, owners = _marked(docs, items, text_col, item_id, item_text, window, block_bytes)
+    rows, owners = _marked(docs, items, text_col, item_id, item_text, window, block_bytes, null_items)
     hits = rows.where("size(patterns) > 0").select("row", F.explode("patterns").alias("pattern_id"))
-    named = hits.join(owners, "pattern_id").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    named = hits.join(owners, "pattern_id").groupBy("row").agg(
+        F.transform(F.sort_array(F.collect_set(F.struct("item"))), lambda x: x["item"]).alias("items"))
     new = ("n_words", "starts", "lengths", "items")
     result = rows.join(named, "row", "left").withColumn("items", F.coalesce("items", F.expr("cast(array() as array<string>)")))
     kept = [c for c in docs.columns if c not in new]
@@ -239,8 +242,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                      item_text: str = "text", window: int = WINDOW, block_bytes: int = PATTERN_BYTES_PER_BLOCK) -> DataFrame:
+                      item_text: str = "text", window: int = WINDOW, block_bytes: int = PATTERN_BYTES_PER_BLOCK,
+                      null_items: bool = False) -> DataFrame:
     """The rows of ``docs`` whose text holds no window of any item, with their own columns only."""
-    rows, _ = _marked(docs, items, text_col, item_id, item_text, window, block_bytes)
+    rows, _ = _marked(docs, items, text_col, item_id, item_text, window, block_bytes, null_items)
     return rows.where(F.size("lengths") == 0).select(
         *[F.col("text").alias(c) if c == text_col else F.col("id")[c].alias(c) for c in docs.columns])

@@ -1,6 +1,9 @@
 """Decontamination in bounded blocks, with windows that many items share."""
 
-from basketry.llm import decontamination
+import hashlib
+
+import corpus_pipeline
+from basketry.llm import catalog, decontamination
 
 
 def test_blocks_hold_pattern_ids_only_and_one_is_held_at_a_time(spark, make_docs, monkeypatch):
@@ -36,3 +39,24 @@ def test_blocks_hold_pattern_ids_only_and_one_is_held_at_a_time(spark, make_docs
     assert got == [(0, 26, 26, everyone), (1, 15, 14, everyone), (2, 27, 26, everyone), (3, 0, 0, []), (3, 2, 0, [])]
     clean = decontamination.drop_contaminated(docs, source, block_bytes=40_000)
     assert clean.columns == docs.columns and [r["doc_id"] for r in clean.collect()] == [3, 3]
+
+
+def test_items_without_an_id_mark_documents_as_in_the_sql(spark, make_docs, tmp_path):
+    leak, named = (" ".join(f"{c}{k}" for k in range(12)) for c in "ab")
+    docs = make_docs([(1, "before " + leak), (2, named), (3, leak + " " + named), (4, "clean words"), (5, None)])
+    docs.select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(None, leak), (None, leak + " more"), (8, named), (9, "nothing of it"), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = {r["doc_id"]: tuple(r)[1:] for r in catalog.op1_wu_manber(spark, str(tmp_path)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {1: (13, 12, 1, sha(""), True), 2: (12, 12, 1, sha("8"), True), 3: (24, 24, 2, sha("8"), True),
+            4: (2, 0, 0, sha(""), False), 5: (0, 0, 0, sha(""), False)}
+    assert rows == want
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    assert {r[0]: r[1:] for r in con.execute(catalog.OP1_SQL).fetchall()} == want
+    kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5]
