@@ -28,11 +28,12 @@ WORDS_KEPT = 250_000
 LONGEST_WORD = 64
 
 _ALL_BITS = (1 << 64) - 1
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 
 
 def words_of(text) -> list:
-    """Runs of letters of a text, in lower case; none if it only has signs such as superscript figures."""
+    """Runs of letters of a text, in lower case; none if it only has signs such as superscript figures. A run of
+    more than 64 letters, as in scripts without spaces, gives consecutive words of at most 64."""
     words = _WORD.findall(text.lower()) if text else []
     return words if any(c.isalpha() for w in words for c in w) else []
 
@@ -47,12 +48,10 @@ def _slots(kind: int, *codes) -> np.ndarray:
 
 
 def word_features(words: list, lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, word number) of all hashed affix, n-gram and lexicon features, ordered by word. Of a word of
-    more than 64 letters the two ends are used."""
+    """(feature, word number) of all hashed affix, n-gram and lexicon features, ordered by word."""
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    half = LONGEST_WORD // 2
-    marked = [f"^{w}$" if len(w) <= LONGEST_WORD else f"^{w[:half]}{w[-half:]}$" for w in words]
+    marked = [f"^{w}$" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     stops = np.cumsum(sizes)

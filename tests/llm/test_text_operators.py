@@ -222,6 +222,17 @@ def test_language_of_held_out_and_mixed_texts(spark, sf_dir, make_docs):
     assert unlearned.first()["lang_pred"] == "und"
 
 
+def test_every_letter_of_a_long_run_counts():
+    model = language_crf.fit(["wolke regen sturm"] * 40 + ["pluie nuage vent"] * 40, ["de"] * 40 + ["fr"] * 40)
+    inner = "pluienuagevent" * 700
+    text = "wolkeregensturm" * 3 + inner + "wolkeregensturm" * 3
+    pieces = language_crf.words_of(text)
+    assert "".join(pieces) == text and max(map(len, pieces)) == 64 and len(pieces) == -(-len(text) // 64)
+    assert language_crf.words_of("\u96e8" * 130 + " ab") == ["\u96e8" * 64, "\u96e8" * 64, "\u96e8" * 2, "ab"]
+    means = language_crf.Labeller(model)([text, inner, inner + " wolke"])
+    assert (means.argmax(1) == model.labels.index("fr")).all() and means[2].max() > 0.9
+
+
 def test_lanes_give_the_plain_forward_backward():
     rng = np.random.default_rng(0)
     sizes, step = np.array([0, 1, 5, 17, 16, 0, 40, 8]), rng.random((3, 3)) + 0.1
