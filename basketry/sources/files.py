@@ -1,5 +1,7 @@
 """Landed files: report payloads, sales CSV, one CSV per store, partner list."""
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions.clean import zero_fill
@@ -80,21 +82,57 @@ def store_file_key(store) -> Column:
     return F.translate(store, "/", "_")
 
 
-def read_store_csv_dir(spark: SparkSession, path: str, columns, numeric_columns=(), stores: DataFrame = None) -> DataFrame:
-    """All per-store CSV files of a folder in one scan, with storeName taken from the file name.
+def _headers(files: DataFrame):
+    """(path, column names) of each CSV file with a first record, of which only that record is read."""
+    jvm, conf = files.sparkSession._jvm, files.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    for uri in sorted(files.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            record = line = lines.readLine()
+            while line is not None and (not record.strip("\ufeff \t") or record.count('"') % 2):
+                line = lines.readLine()
+                if line is not None:
+                    record = f"{record}\n{line}" if record.count('"') % 2 else line
+        finally:
+            lines.close()
+        if record and record.strip("\ufeff \t"):
+            yield path.toString(), next(csv.reader([record.lstrip("\ufeff")], strict=False))
+
+
+def _literal_path(path: str) -> str:
+    return "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in path)
+
+
+def read_store_csv_dir(spark: SparkSession, path: str, columns, numeric_columns=(), stores: DataFrame = None,
+                       multi_line: bool = True) -> DataFrame:
+    """All per-store CSV files of a folder, with storeName taken from the file name.
 
     A store may also be a folder ``<store>.csv`` (or ``store_file=<store>.csv``) of part files.
     Columns are found by the header of each file, so files may hold others and in any order; columns that a file
-    lacks are null. Each file is read as one text. With ``stores`` (storeName), the file key is turned back into the real store name and files of
-    unknown stores are left out; a store without a file has no rows.
+    lacks are null. Files whose headers have the columns at the same places are one scan. Line breaks inside quotes
+    belong to their cell, so a file is streamed by one task; files that are known to have none are split over tasks
+    with ``multi_line=False``. With ``stores`` (storeName), the file key is turned back into the real store name and
+    files of unknown stores are left out; a store without a file has no rows.
     """
     columns = [c for c in columns if c != "storeName"]
+    groups = {}
+    for file, names in _headers(spark.read.option("recursiveFileLookup", True).text(path)):
+        places = tuple(names.index(c) if c in names else None for c in columns)
+        groups.setdefault((places, len(names)), []).append(_literal_path(file))
     file_path = F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")
-    bodies = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
-        F.regexp_extract(file_path, STORE_FILE, 1).alias("store_key"), F.col("value").alias("body"))
-    typed = _rows_by_header(bodies, "store_key", columns).select(
-        "store_key",
-        *[zero_fill(c).alias(c) if c in numeric_columns else F.col(c) for c in columns])
+    typed = spark.createDataFrame([], all_strings(["store_key", *columns]))
+    for (places, width), files in groups.items():
+        rows = spark.read.options(header=True, escape='"', multiLine=multi_line, recursiveFileLookup=True, maxColumns=max(20480, 2 * width),
+                                  columnNameOfCorruptRecord="odd").schema(all_strings([*[f"c{i}" for i in range(width)], "odd"])).csv(files)
+        # A line of blanks alone is no row.
+        rows = rows.where((F.trim(F.coalesce("c0", F.lit(""))) != "") | F.col("odd").isNull() | F.col("odd").rlike(r"\S"))
+        typed = typed.unionByName(rows.select(
+            F.regexp_extract(file_path, STORE_FILE, 1).alias("store_key"),
+            *[(F.lit(None).cast("string") if i is None else F.col(f"c{i}")).alias(c) for c, i in zip(columns, places)]))
+    typed = typed.select("store_key", *[zero_fill(c).alias(c) if c in numeric_columns else F.col(c) for c in columns])
     if stores is None:
         return typed.withColumnRenamed("store_key", "storeName")
     names = stores.select("storeName").distinct().withColumn("store_key", store_file_key("storeName"))

@@ -264,3 +264,23 @@ def test_many_stores_take_the_salted_join(spark, sf_dir, monkeypatch):
     few = sr.weekly_brand(lines, weeks).collect()
     monkeypatch.setattr(tables, "MAX_BROADCAST_PERIODS", 1)
     assert sorted(map(str, sr.weekly_brand(lines, weeks).collect())) == sorted(map(str, few))
+
+
+def test_store_files_are_scanned_as_csv_and_split(spark, tmp_path):
+    (tmp_path / "A [1].csv").write_text("﻿productName,quantity\n" + "".join(f"P{i},{i}\n" for i in range(20000)))
+    (tmp_path / "B.csv").write_text('other,quantity,productName\nx,1,"two\nlines, ""q"""\n   \ny,,\n')
+    (tmp_path / "C.csv").write_text("")
+    (tmp_path / "D.csv").write_text("quantity\n7\n")
+    read = lambda **k: files.read_store_csv_dir(spark, str(tmp_path), ["productName", "quantity"], **k)
+    rows = read()
+    assert "Scan text" not in rows._jdf.queryExecution().toString() and rows.where("storeName = 'A [1]'").count() == 20000
+    assert {tuple(r) for r in rows.where("storeName <> 'A [1]'").collect()} == {
+        ("B", 'two\nlines, "q"', "1"), ("B", None, None), ("D", None, "7")}
+    (tmp_path / "B.csv").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        split = read(multi_line=False)
+        assert split.count() == 20001 and split.where("storeName = 'A [1]'").rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
