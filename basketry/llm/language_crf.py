@@ -328,8 +328,9 @@ def label_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text
     return map_batches(source, work, schema)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_score: float = 0.4) -> DataFrame:
-    """The rows of ``docs`` with a determined language of at least this score, with their own columns."""
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` with a determined language of at least this score, with their own columns. The score is a
+    share over words, low in a clear text of several languages, so only undetermined texts go unless one is given."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{text_col}`").alias("text"))
     marked = label_languages(row, model)
     return marked.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select("doc.*")

@@ -222,6 +222,14 @@ def test_language_of_held_out_and_mixed_texts(spark, sf_dir, make_docs):
     assert unlearned.first()["lang_pred"] == "und"
 
 
+def test_clear_texts_of_three_languages_stay(make_docs):
+    said = {"de": "wolke regen sturm", "fr": "pluie nuage vent", "es": "lluvia nube viento"}
+    model = language_crf.fit([t for t in said.values() for _ in range(40)], [y for y in said for _ in range(40)])
+    docs = make_docs([(1, " ".join(f"{t} " * 20 for t in said.values())), (2, "12 ..."), (3, None)])
+    assert language_crf.label_languages(docs, model).where("doc_id = 1").first()["score"] < 0.4
+    assert [r["doc_id"] for r in language_crf.keep_identified(docs, model).collect()] == [1]
+
+
 def test_every_letter_of_a_long_run_counts():
     model = language_crf.fit(["wolke regen sturm"] * 40 + ["pluie nuage vent"] * 40, ["de"] * 40 + ["fr"] * 40)
     inner = "pluienuagevent" * 700
