@@ -1,10 +1,9 @@
-"""Repeated passages by prefix-free parsing.
+"""Repeated passages by windows anchored at content-chosen phrase ends.
 
 A rolling hash over a few bytes triggers the ends of phrases, so equal content is parsed alike wherever it lies.
-A suffix of the corpus is then a suffix of a phrase followed by a suffix of the parse, and suffixes compare first
-by the one and then by the other. Only the first ``length`` bytes of a suffix matter here: suffixes that begin in
-the same phrase are taken together, ordered by digests of what the phrase suffix and the phrases after it spell,
-and equal neighbours in that order are repeats.
+Only this part of prefix-free parsing is used. There is no phrase dictionary, no parse and no suffix array of
+either, and nothing is sorted: windows of ``length`` bytes that begin in the same phrase are taken together and
+counted by digests of what the phrase suffix and the phrases after it spell; what is counted twice is a repeat.
 """
 
 import hashlib
