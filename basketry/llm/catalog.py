@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    cover_tree, decontamination, language_crf, packing, perspectives, prefix_free, simhash, super_kmers, token_scan, warc)
+    centroids, cover_tree, decontamination, language_crf, merkle, packing, perspectives, prefix_free, simhash, super_kmers, token_scan, warc)
 from basketry.llm.common import table
+from basketry.llm.manifest_sql import OP12_SQL, OP13_SQL
 
 
 def op1_wu_manber(spark, sf_dir):
@@ -62,6 +63,15 @@ def op10_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered=third)
+
+
+def op13_pivot_clusters(spark, sf_dir):
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -119,4 +129,5 @@ from placed group by conv_id, perspective, part
 
 
 def oracle_sql():
-    return {"op1_wu_manber": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_perspectives": OP5_SQL}
+    return {"op1_wu_manber": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_perspectives": OP5_SQL,
+            "op12_merkle_manifest": OP12_SQL, "op13_pivot_clusters": OP13_SQL}
