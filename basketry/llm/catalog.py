@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    centroids, cover_tree, decontamination, language_crf, merkle, packing, perspectives, prefix_free, simhash, super_kmers, token_scan, warc)
+    centroids, class_ngrams, cover_tree, decontamination, language_crf, merkle, packing, perspectives, prefix_free, simhash, super_kmers, token_scan, warc)
 from basketry.llm.common import table
 from basketry.llm.manifest_sql import OP12_SQL, OP13_SQL
 
@@ -63,6 +63,11 @@ def op10_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_brown_classes(spark, sf_dir):
+    fifth = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return class_ngrams.score_texts(table(spark, sf_dir, "documents"), held_out=fifth)
+
+
 def op12_merkle_manifest(spark, sf_dir):
     third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered=third)
