@@ -5,9 +5,9 @@ Classes come from exchange clustering, which raises the mutual information of ne
 frequent words are exchanged one by one to seed the classes, then all words are judged against the classes' counts
 at once, in rounds, each by its own neighbours.
 
-Texts are cut into blocks with a word list of their own and turned into places of that list once. What a word has to
-know of the corpus travels as one row for each block and word, so that no token is shuffled and a frequent word
-is one row a block; the blocks get the words' classes back as packed arrays.
+Texts are cut into blocks with a word list of their own and turned into places of that list once. What words have to
+know of the corpus travels packed, as one row for each block and part of the words, so that no token is shuffled and
+a frequent word is one number a block. A part holds the words of one hash value, about ``WORDS_AT_ONCE`` numbers.
 """
 
 import uuid
@@ -15,7 +15,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType)
@@ -23,24 +22,21 @@ from pyspark.sql.types import (
 from basketry.llm.common import arrow_schema, field, stage
 from basketry.operators.staging import scratch_path
 
-CLASSES = 64
+CLASSES = 64  # at most 120, so that a neighbour's class and side fit one byte
 SEEDS = 512
 SEED_SWEEPS = 6
 ROUNDS = 3
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 PIECE = 1 << 20
-FACTS_AT_ONCE = 500_000
+WORDS_AT_ONCE = 500_000
+GROUPS_AT_ONCE = 8192
 # The end of a text in a block's word list; no word holds a blank.
 END = b" "
 
 
-def words_of(text) -> list:
-    """Words between blanks and ASCII white space, A-Z in lower case, as UTF-8 bytes."""
-    return (text or "").encode().lower().split()
-
-
 def _pieces(text: str):
-    """A text's words, a piece of bounded bytes at a time, cut at white space."""
+    """The words of a text between blanks and ASCII white space, A-Z in lower case, as UTF-8 bytes; a piece of about
+    bounded size at a time, cut at white space."""
     data, at = (text or "").encode(), 0
     while at < len(data):
         end = min(len(data), at + PIECE)
@@ -50,23 +46,23 @@ def _pieces(text: str):
         at = end
 
 
-def _blocks_of(docs: DataFrame, id_type) -> DataFrame:
-    """One row for each block of texts: its words, blank-separated, and its texts as places in that list."""
+def _record(columns, kinds) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds.types)], schema=kinds)
+
+
+def encode_blocks(docs: DataFrame) -> DataFrame:
+    """``docs`` (id, text, held): one row for each block of texts, its words and its texts as places in that list."""
     schema = StructType([
-        StructField("block", LongType()), StructField("words", BinaryType()), StructField("tokens", BinaryType()),
-        StructField("ids", ArrayType(id_type)), StructField("held", ArrayType(BooleanType())), StructField("sizes", ArrayType(LongType()))])
+        StructField("block", LongType()), StructField("words", BinaryType()), StructField("n_words", LongType()), StructField("tokens", BinaryType()),
+        StructField("ids", ArrayType(docs.schema["id"].dataType)), StructField("held", ArrayType(BooleanType())), StructField("sizes", ArrayType(LongType()))])
 
     def encode(batches):
         from pyspark import TaskContext
 
         number, kinds = TaskContext.get().partitionId() << 33, arrow_schema(schema)
-        known, parts, ids, held, sizes, held_bytes = {END: 0}, [], [], [], [], 0
-
-        def block():
-            words = b"\n".join(list(known)[1:])
-            row = [number, words, np.concatenate(parts).tobytes(), ids, held, sizes]
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds.types)], schema=kinds)
-
+        known, parts, ids, held, sizes, size = {END: 0}, [], [], [], [], 0
+        block = lambda: _record([[x] for x in (
+            number, b"\n".join(list(known)[1:]), len(known) - 1, np.concatenate(parts).tobytes(), ids, held, sizes)], kinds)
         for batch in batches:
             for k in range(batch.num_rows):
                 text, n = batch.column(1)[k].as_py() or "", 1
@@ -80,10 +76,10 @@ def _blocks_of(docs: DataFrame, id_type) -> DataFrame:
                 ids.append(batch.column(0)[k].as_py())
                 held.append(batch.column(2)[k].as_py())
                 sizes.append(n)
-                held_bytes += len(text)
-                if held_bytes >= BLOCK_BYTES or len(ids) >= 50_000:
+                size += len(text)
+                if size >= BLOCK_BYTES or len(ids) >= 50_000:
                     yield block()
-                    number, known, parts, ids, held, sizes, held_bytes = number + 1, {END: 0}, [], [], [], [], 0
+                    number, known, parts, ids, held, sizes, size = number + 1, {END: 0}, [], [], [], [], 0
         if ids:
             yield block()
 
@@ -91,214 +87,225 @@ def _blocks_of(docs: DataFrame, id_type) -> DataFrame:
 
 
 class Block:
-    """A block read back, with what its words have learned: class and count by place in its list."""
+    """A block read back. Its training words are listed part by part in ``place``; ``known`` and ``cls`` are what has
+    been learned of each word of its list: the count, and the class (``classes``: the end of a text; one more: none)."""
 
-    def __init__(self, row, classes: int, seeded: dict):
+    def __init__(self, row: dict, classes: int, seeded: dict):
         self.number = row["block"].as_py()
-        words = row["words"].as_py()
-        self.words = [END, *(words.split(b"\n") if words else ())]
         self.tokens = np.frombuffer(row["tokens"].as_buffer(), np.int32)
         self.sizes = row["sizes"].values.to_numpy(zero_copy_only=False).astype(np.int64)
         self.held = row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
         self.ids = row["ids"].values
         self.train = np.repeat(~self.held, self.sizes)
-        self.known = np.zeros(len(self.words), np.int64)
-        self.cls = np.full(len(self.words), classes + 1, np.int64)  # not known
-        facts = row.get("facts")
-        if facts is not None and facts.is_valid:
-            for chunk in facts.values:
-                at = np.frombuffer(chunk["place"].as_buffer(), np.int32)
-                self.cls[at] = np.frombuffer(chunk["cls"].as_buffer(), np.int16)
-                self.known[at] = np.frombuffer(chunk["known"].as_buffer(), np.int64)
-        for k, w in enumerate(self.words if seeded else ()):
-            if w in seeded:
-                self.cls[k] = seeded[w]
+        size = row["n_words"].as_py() + 1
+        self.known, self.cls = np.zeros(size, np.int64), np.full(size, classes + 1, np.int64)
+        if "words" in row:
+            words = row["words"].as_py()
+            self.words = [END, *(words.split(b"\n") if words else ())]
+            if seeded:
+                for k, w in enumerate(self.words):
+                    self.cls[k] = seeded.get(w, classes + 1)
+        self.parts, self.place, self.rank = [], [], []
+        for chunk in self._chunks(row, "counted"):
+            self.parts.append(chunk["part"].as_py())
+            self.place.append(np.frombuffer(chunk["place"].as_buffer(), np.int32))
+            self.rank.append(chunk["rank"].as_py())
+            self.known[self.place[-1]] = np.frombuffer(chunk["known"].as_buffer(), np.int64)
+        for place, chunk in zip(self.place, self._chunks(row, "classed")):
+            self.cls[place] = np.frombuffer(chunk["cls"].as_buffer(), np.uint8)
         self.cls[0] = classes
 
+    def _chunks(self, row, name):
+        found = row.get(name)
+        return sorted(found.values, key=lambda c: c["part"].as_py()) if found is not None and found.is_valid else ()
+
     def train_pairs(self, of: np.ndarray):
-        """(before, token) of the training tokens by ``of``, the end of a text standing before each text's first."""
+        """(token before, token, ``of`` the token before, ``of`` the token) of the training tokens; before each text's first
+        token stands the end of a text."""
         tokens = self.tokens[self.train]
         now = of[tokens]
-        return tokens, np.concatenate(([0], tokens[:-1])), np.concatenate(([of[0]], now[:-1])), now
+        return np.concatenate(([0], tokens[:-1])), tokens, np.concatenate(([of[0]], now[:-1])), now
 
 
 def _each_block(frame: DataFrame, classes: int, function, schema: StructType, seeded: dict = None, per_task: bool = False) -> DataFrame:
-    """``function(block)`` gives the columns of each block. With ``per_task`` it is made anew in each task, as what takes a
-    block and what gives the columns at the end."""
+    """``function(block)`` yields records' columns. With ``per_task`` it is made anew in each task, as what takes a block and
+    what gives the columns at the end."""
     def run(batches):
         kinds = arrow_schema(schema)
-        record = lambda columns: pa.RecordBatch.from_arrays(
-            [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds.types)], schema=kinds)
         work, end = function() if per_task else (function, None)
         for batch in batches:
-            names = batch.schema.names
             for k in range(batch.num_rows):
-                out = work(Block({n: batch.column(i)[k] for i, n in enumerate(names)}, classes, seeded))
-                if out is not None:
-                    yield record(out)
+                for out in work(Block({n: batch.column(i)[k] for i, n in enumerate(batch.schema.names)}, classes, seeded)) or ():
+                    yield _record(out, kinds)
         if end:
-            yield record(end())
+            yield _record(end(), kinds)
 
     return frame.mapInArrow(run, schema)
 
 
-def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """One binary value for each length, of consecutive items of ``data``."""
-    offsets = np.concatenate(([0], np.cumsum(lengths * data.itemsize))).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+def _each_part(rows: DataFrame, function, schema: StructType) -> DataFrame:
+    """``function(rows of one part)`` yields records' columns. A part's rows, one for each block, meet in one task."""
+    def run(batches):
+        kinds, now, held = arrow_schema(schema), None, []
+        for batch in batches:
+            for row in (batch.slice(k, 1) for k in range(batch.num_rows)):
+                part = row.column(0)[0].as_py()
+                if part != now and held:
+                    yield from (_record(out, kinds) for out in function(now, held))
+                    held = []
+                now = part
+                held.append({n: c[0] for n, c in zip(row.schema.names, row.columns)})
+        if held:
+            yield from (_record(out, kinds) for out in function(now, held))
 
+    return rows.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, schema)
 
-_WORD = StructType([StructField("word", BinaryType()), StructField("block", LongType()), StructField("place", IntegerType()),
-                    StructField("known", LongType()), StructField("cls", IntegerType()), StructField("near", BinaryType())])
-# Rows with a block are facts for its words; rows with a word are the most frequent ones of a task; the last are sums.
-_FACT = StructType([StructField("block", LongType()), StructField("place", BinaryType()), StructField("cls", BinaryType()),
-                    StructField("known", BinaryType()), StructField("word", BinaryType()), StructField("n", LongType()),
-                    StructField("kinds", LongType())])
 
+_COUNTED = StructType([StructField("part", IntegerType()), StructField("block", LongType()), StructField("words", BinaryType()),
+                       StructField("place", BinaryType()), StructField("n", BinaryType())])
+# Rows with a block: what its words learn; rows with a word: the most frequent of the part; the last: the part's words.
+_LEARNED = StructType([StructField("part", IntegerType()), StructField("block", LongType()), StructField("place", BinaryType()),
+                       StructField("rank", BinaryType()), StructField("known", BinaryType()), StructField("word", BinaryType()), StructField("n", LongType())])
 
-def _count_words(blocks: DataFrame, classes: int) -> DataFrame:
-    """A row for each block and word of its training texts, with the word's count."""
+
+def count_words(blocks: DataFrame, classes: int, parts: int, tops: int) -> DataFrame:
+    """Counts of the training words, the words of a part in the order of their bytes."""
     def count(block):
         n = np.bincount(block.tokens[block.train], minlength=len(block.words))
-        at = np.flatnonzero(n)
-        return [[block.words[i] for i in at], np.full(len(at), block.number), at.astype(np.int32), n[at],
-                np.full(len(at), classes + 1, np.int32), pa.nulls(len(at), pa.binary())]
-
-    return _each_block(blocks, classes, count, _WORD)
-
-
-def _neighbours(blocks: DataFrame, classes: int, seeded: dict) -> DataFrame:
-    """A row for each block and word of its training texts, with the classes that follow and precede it, as numbers
-    ``(direction * (classes + 2) + class) << 40 | count``."""
+        at = np.flatnonzero(n[1:]) + 1
+        part = np.array([zlib.crc32(block.words[i]) % parts for i in at.tolist()], np.int64)
+        at = at[np.argsort(part, kind="stable")]
+        used, first = np.unique(np.sort(part), return_index=True)
+        for p, own in zip(used.tolist(), np.split(at, first[1:])):
+            yield [[x] for x in (p, block.number, b"\n".join([block.words[i] for i in own.tolist()]), own.astype(np.int32).tobytes(), n[own].astype(np.int64).tobytes())]
+
+    def settle(part, rows):
+        words = [r["words"].as_py().split(b"\n") for r in rows]
+        listed = sorted(set().union(*words))
+        rank = dict(zip(listed, range(len(listed))))
+        ranks = [np.fromiter(map(rank.__getitem__, w), np.int32, len(w)) for w in words]
+        known = np.zeros(len(listed), np.int64)
+        for r, own in zip(rows, ranks):
+            known[own] += np.frombuffer(r["n"].as_buffer(), np.int64)
+        for r, own in zip(rows, ranks):
+            yield [[x] for x in (part, r["block"].as_py(), r["place"].as_py(), own.tobytes(), known[own].tobytes(), None, None)]
+        first = sorted(zip((-known).tolist(), listed))[:tops]
+        none = [None] * (len(first) + 1)
+        yield [[part] * len(none), none, none, none, none, [w for _, w in first] + [None], [-k for k, _ in first] + [len(listed)]]
+
+    return _each_part(_each_block(blocks, classes, count, _COUNTED), settle, _LEARNED)
+
+
+_NEAR = StructType([StructField("part", IntegerType()), StructField("block", LongType()), *[StructField(c, BinaryType()) for c in (
+    "rank", "own", "lengths", "keys", "counts")]])
+_CLASSED = StructType([StructField("part", IntegerType()), StructField("block", LongType()), StructField("cls", BinaryType())])
+
+
+def exchange_round(blocks: DataFrame, classes: int, seeded: dict, decide) -> DataFrame:
+    """New classes of all training words. ``decide(own, group, key, n)`` gives those of a part's words, of which entries
+    say that word ``group`` has ``n`` neighbours ``key``: classes that follow it, and ``classes + 2`` on, that precede it."""
     width = classes + 2
 
     def gather(block):
-        tokens, before_token, before, now = block.train_pairs(block.cls)
-        code = np.concatenate([token.astype(np.int64) * (2 * width) + key for token, key in ((before_token, now), (tokens, width + before))])
+        before_token, token, before, now = block.train_pairs(block.cls)
+        code = np.concatenate([before_token.astype(np.int64) * 256 + now, token.astype(np.int64) * 256 + width + before])
         code, n = np.unique(code, return_counts=True)
-        keep = code // (2 * width) > 0  # the end of a text stays a class of its own
-        code, n = code[keep], n[keep]
-        place, first = np.unique(code // (2 * width), return_index=True)
-        near = (code % (2 * width)) << 40 | n
-        lengths = np.diff(np.append(first, len(code)))
-        return [[block.words[i] for i in place], np.full(len(place), block.number), place.astype(np.int32), block.known[place],
-                block.cls[place].astype(np.int32), _binary(near.astype(np.int64), lengths)]
-
-    return _each_block(blocks, classes, gather, _WORD, seeded)
+        bounds = np.searchsorted(code, np.arange(len(block.cls) + 1, dtype=np.int64) * 256)
+        for part, place, rank in zip(block.parts, block.place, block.rank):
+            lengths = np.diff(bounds)[place]
+            at = np.repeat(bounds[place] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            yield [[x] for x in (part, block.number, rank, block.cls[place].astype(np.uint8).tobytes(), lengths.astype(np.int32).tobytes(),
+                                 (code[at] & 255).astype(np.uint8).tobytes(), n[at].astype(np.uint32).tobytes())]
+
+    def settle(part, rows):
+        read = lambda name, kind: [np.frombuffer(r[name].as_buffer(), kind) for r in rows]
+        ranks = read("rank", np.int32)
+        rank = np.concatenate(ranks)
+        own = np.zeros(int(rank.max()) + 1, np.int64)
+        own[rank] = np.concatenate(read("own", np.uint8))
+        code = np.repeat(rank.astype(np.int64), np.concatenate(read("lengths", np.int32))) << 8 | np.concatenate(read("keys", np.uint8))
+        code, inverse = np.unique(code, return_inverse=True)
+        n = np.bincount(inverse, np.concatenate(read("counts", np.uint32))).astype(np.int64)
+        cls = decide(own, code >> 8, code & 255, n).astype(np.uint8)
+        for r, of in zip(rows, ranks):
+            yield [[x] for x in (part, r["block"].as_py(), cls[of].tobytes())]
+
+    return _each_part(_each_block(blocks, classes, gather, _NEAR, seeded), settle, _CLASSED)
 
 
 def _f(x):
-    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+    return x * np.log(np.maximum(x, 1))
+
+
+class ClassGains:
+    """What joining each class adds to the sum of x log x that exchange clustering raises, by the counts ``totals`` of
+    pairs of neighbouring classes."""
+
+    def __init__(self, totals: np.ndarray):
+        width = len(totals)
+        self.classes = width - 2
+        # Row ``key``: the counts of each class with that neighbour.
+        self.seen = np.concatenate([totals[:self.classes].T, totals[:, :self.classes]]).astype(float)
+        self.value = _f(self.seen)
+        self.one = _f(self.seen + 1) - self.value
+        self.sums = np.stack([totals.sum(1), totals.sum(0)])[:, :self.classes].astype(float)
+
+    def __call__(self, group, key, n, own) -> np.ndarray:
+        """(words, classes). Entries, in the order of their words, say that word ``group`` has ``n`` neighbours ``key``; ``own`` is
+        each word's class now, whose counts hold the word's own."""
+        words, width = len(own), len(self.seen) // 2
+        single = n == 1
+        often = np.zeros((words, len(self.seen)))
+        often[group[single], key[single]] = 1
+        gains = often @ self.one
+        g, k, m = group[~single], key[~single], n[~single].astype(float)
+        if len(g):
+            pair, inverse = np.unique(n[~single] * 256 + k, return_inverse=True)
+            change = _f(self.seen[pair % 256] + (pair // 256)[:, None]) - self.value[pair % 256]
+            first = np.flatnonzero(np.diff(g, prepend=-1))
+            gains[g[first]] += np.add.reduceat(change[inverse], first)
+        # The word's own class holds its counts already.
+        mine = np.flatnonzero(own[group] < self.classes)
+        g, k, m = group[mine], key[mine], n[mine].astype(float)
+        stay = self.seen[k, own[g]]
+        correction = self.value[k, own[g]] - _f(np.maximum(stay - m, 0)) - (_f(stay + m) - self.value[k, own[g]])
+        np.add.at(gains, (g, own[g]), correction)
+        at = np.flatnonzero(own < self.classes)
+        for direction, sums in enumerate(self.sums):
+            on = key // width == direction
+            times, inverse = np.unique(np.bincount(group[on], n[on], words), return_inverse=True)
+            loss = (_f(sums[None, :] + times[:, None]) - _f(sums)[None, :])[inverse]
+            stay = sums[own[at]]
+            loss[at, own[at]] = _f(stay) - _f(np.maximum(stay - times[inverse[at]], 0))
+            gains -= loss
+        return gains
 
 
-def class_gains(group, key, n, own, totals: np.ndarray, groups: int) -> np.ndarray:
-    """(groups, classes): what joining each class adds to the sum of x log x that exchange clustering raises.
+def _chooser(totals: np.ndarray, turn: int):
+    """Which class each word takes in a round: the first round all words, later ones half of them, so that neighbours
+    don't move past each other."""
+    classes = len(totals) - 2
+    gains_of = ClassGains(totals)
 
-    Entries say that a word (group) has ``n`` neighbours of direction and class ``key``; ``own`` is its class now, whose
-    counts hold the word's own. ``totals`` counts pairs of neighbouring classes.
-    """
-    width = len(totals)
-    classes = width - 2
-    gains = np.zeros((groups, classes))
-    row, col = totals.sum(1), totals.sum(0)
-    for direction, table, sums in ((0, totals, row), (1, totals.T, col)):
-        mine = key // width == direction
-        g, d, m = group[mine], key[mine] % width, n[mine].astype(float)
-        if not len(g):
-            continue
-        seen = table[:classes, d].T.astype(float)
-        change = _f(seen + m[:, None]) - _f(seen)
-        at = np.flatnonzero(own[g] < classes)
-        stay = seen[at, own[g[at]]]
-        change[at, own[g[at]]] = _f(stay) - _f(np.maximum(stay - m[at], 0))
-        first = np.flatnonzero(np.diff(g, prepend=-1))
-        gains[g[first]] += np.add.reduceat(change, first)
-        times = np.bincount(g, m, groups)
-        sums = sums[:classes].astype(float)
-        loss = _f(sums[None, :] + times[:, None]) - _f(sums)[None, :]
-        at = np.flatnonzero(own < classes)
-        stay = sums[own[at]]
-        loss[at, own[at]] = _f(stay) - _f(np.maximum(stay - times[at], 0))
-        gains -= loss
-    return gains
-
-
-def _settle(rows: DataFrame, classes: int, decide, tops: int = 0) -> DataFrame:
-    """Rows of one word meet, ``decide`` gives its class, and each block gets back what its words need to know.
-
-    ``decide(words, own, group, key, n)`` gives the class of each word of some, or None for none. The rows of a word are as
-    many as blocks; only their numbers are held together.
-    """
-    def run(batches):
-        kinds = arrow_schema(_FACT)
-        found, rest, first, held = [], None, [], 0
-        sums = np.zeros(2, np.int64)
-
-        def facts():
-            block, place, cls, known = (np.concatenate(c) for c in zip(*found))
-            order = np.argsort(block, kind="stable")
-            block, place, cls, known = block[order], place[order].astype(np.int32), cls[order].astype(np.int16), known[order]
-            numbers, at = np.unique(block, return_index=True)
-            lengths = np.diff(np.append(at, len(block)))
-            empty = pa.nulls(len(numbers), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(numbers), _binary(place, lengths), _binary(cls, lengths), _binary(known, lengths),
-                 pa.nulls(len(numbers), pa.binary()), empty, empty], schema=kinds)
-
-        def settle(part):
-            nonlocal held, first, sums
-            coded = part.column("word").dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            group = coded.indices.to_numpy()
-            known, own = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-            own[group] = part.column("cls").to_numpy()
-            near = part.column("near")
-            if near.null_count:
-                np.add.at(known, group, part.column("known").to_numpy())
-            else:
-                known[group] = part.column("known").to_numpy()  # counted before, the same in each row of a word
-                at = np.frombuffer(near.buffers()[1], np.int32)[near.offset:near.offset + len(near) + 1]
-                entries = np.frombuffer(near.buffers()[2], np.int64)[at[0] // 8:at[-1] // 8]
-                code = np.repeat(group, np.diff(at) // 8).astype(np.int64) << 16 | entries >> 40
-                code, inverse = np.unique(code, return_inverse=True)
-                n = np.zeros(len(code), np.int64)
-                np.add.at(n, inverse, entries & (1 << 40) - 1)
-                own = decide(words, own, code >> 16, code & 0xFFFF, n)
-            sums += [known.sum(), len(words)]
-            if tops:
-                first = sorted([*first, *((-k, w) for w, k in zip(words, known.tolist()) if w != END)])[:tops]
-            found.append((part.column("block").to_numpy(), part.column("place").to_numpy(), own[group], known[group]))
-            held += len(group)
+    def decide(own, group, key, n):
+        cls = own.copy()
+        seen = key % (classes + 2) <= classes
+        group, key, n = group[seen], key[seen], n[seen]
+        bounds = np.searchsorted(group, np.arange(0, len(own) + GROUPS_AT_ONCE, GROUPS_AT_ONCE))
+        for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+            at = np.arange(k * GROUPS_AT_ONCE, min(len(own), (k + 1) * GROUPS_AT_ONCE))
+            gains = gains_of(group[a:b] - at[0], key[a:b], n[a:b], own[at])
+            best, now = gains.argmax(1), own[at]
+            kept = np.minimum(now, classes - 1)
+            row = np.arange(len(at))
+            stays = (now < classes) & ((gains[row, kept] >= gains[row, best] - 1e-6) | (turn > 0) & (at % 2 != turn % 2))
+            cls[at] = np.where(stays, now, best)
+        return cls
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = pa.RecordBatch.from_arrays([pa.concat_arrays([a, b]) for a, b in zip(rest.columns, batch.columns)], schema=batch.schema) if rest else batch
-            word = part.column("word")
-            cut = pc.index(word, word[len(word) - 1]).as_py()
-            rest = part.slice(cut)
-            if cut:
-                settle(part.slice(0, cut))
-            if held > FACTS_AT_ONCE:
-                yield facts()
-                found, held = [], 0
-        if rest:
-            settle(rest)
-        if found:
-            yield facts()
-            lines = [[None] * 4 + [w, -k, None] for k, w in first] + [[None] * 5 + sums.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*lines), kinds.types)], schema=kinds)
-
-    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(run, _FACT)
-
-
-def _informed(blocks: DataFrame, facts: DataFrame) -> DataFrame:
-    """Blocks with the facts of their words; only the facts are shuffled."""
-    lists = facts.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("place", "cls", "known")).alias("facts"))
-    return blocks.join(lists, "block", "left")
-
-
-def _cells(frame: DataFrame, classes: int, shape: tuple, add, seeded: dict = None) -> np.ndarray:
+    return decide
+
+
+def cells(frame: DataFrame, classes: int, shape: tuple, add, seeded: dict = None) -> np.ndarray:
     """Counts of bounded shape, summed over all blocks; ``add(block, counts)`` adds those of one."""
     schema = StructType([StructField("cell", LongType()), StructField("n", LongType())])
     size = int(np.prod(shape))
@@ -336,7 +343,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
             n = np.concatenate((after[after > 0], before[before > 0])).astype(np.int64)
             if not len(n):
                 continue
-            gains = class_gains(np.zeros(len(key), np.int64), key, n, own[w:w + 1], totals, 1)[0]
+            gains = ClassGains(totals)(np.zeros(len(key), np.int64), key, n, own[w:w + 1])[0]
             best = int(gains.argmax())
             if gains[best] > gains[own[w]] + 1e-6:
                 old = own[w]
@@ -394,69 +401,77 @@ class Model:
         return np.where(cls == unseen, self.log_new[one], old)
 
 
-def keep_blocks(blocks: DataFrame) -> tuple[DataFrame, str]:
-    """Blocks written once, bucketed, so that facts meet them without another shuffle; and their name in the catalog."""
-    spark, name = blocks.sparkSession, f"blocks_{uuid.uuid4().hex}"
-    (blocks.write.format("parquet").option("compression", "zstd").option("parquet.block.size.row.check.min", "2")
+def keep_by_block(frame: DataFrame) -> tuple[DataFrame, str]:
+    """Rows written once, bucketed by their block, so that they meet without another shuffle; and their catalog name."""
+    spark, name = frame.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    (frame.write.format("parquet").option("compression", "zstd").option("parquet.block.size.row.check.min", "2")
      .option("parquet.page.size.row.check.min", "1").option("path", scratch_path(spark, name))
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
     return spark.table(name), name
 
 
-def fit(blocks: DataFrame, classes: int = CLASSES, seeds: int = SEEDS, rounds: int = ROUNDS) -> tuple[DataFrame, Model, int]:
-    """(facts of the words, model, number of different training tokens) of the blocks' training texts."""
-    width = classes + 2
-    counted = stage(_settle(_count_words(blocks, classes), classes, None, seeds), "word-counts")
-    kinds = counted.where("block is null and word is null").agg(F.sum("kinds")).first()[0] or 0
-    top = counted.where("word is not null").orderBy(F.col("n").desc(), "word").limit(seeds).select("word").collect()
-    place = {bytes(r["word"]): k + 1 for k, r in enumerate(top)}
-
-    def seed_pairs(block, counts):
-        of = np.array([0, *(place.get(w, -1) for w in block.words[1:])])
-        _, _, before, now = block.train_pairs(of)
-        both = (before >= 0) & (now >= 0)
-        counts += np.bincount(before[both] * (len(place) + 1) + now[both], minlength=len(counts))
-
-    pairs = _cells(blocks, classes, (len(place) + 1, len(place) + 1), seed_pairs)
-    seeded = dict(zip(place, exchange(pairs, classes, SEED_SWEEPS).tolist()))
-
-    def class_pairs(block, counts):
-        _, _, before, now = block.train_pairs(block.cls)
-        counts += np.bincount(before * width + now, minlength=len(counts))
-
-    facts = counted
-    for turn in range(rounds):
-        informed, known_seeds = _informed(blocks, facts), None if turn else seeded
-        totals = _cells(informed, classes, (width, width), class_pairs, known_seeds)
-        totals[classes + 1, :] = totals[:, classes + 1] = 0  # words without a class yet
-        facts = stage(_settle(_neighbours(informed, classes, known_seeds), classes, _chooser(totals, turn)), "word-classes")
-
-    def class_triples(block, counts):
-        tokens, _, one, now = block.train_pairs(block.cls)
-        two = np.where(one == classes, classes, np.concatenate(([classes], one[:-1])))
-        counts[:width ** 3] += np.bincount((two * width + one) * width + now, minlength=width ** 3)
-        counts[width ** 3:] += np.bincount(one[(block.known[tokens] == 1) & (tokens > 0)], minlength=width)
-
-    cells = _cells(_informed(blocks, facts), classes, (width ** 3 + width,), class_triples)
-    return facts, Model(cells[:width ** 3].reshape(width, width, width), cells[width ** 3:]), int(kinds)
-
-
-def _chooser(totals: np.ndarray, turn: int):
-    """Which class each word takes in a round: the first round all words, later ones half of them, so that neighbours
-    don't move past each other."""
-    classes = len(totals) - 2
-
-    def decide(words, own, group, key, n):
-        seen = key % (classes + 2) <= classes
-        gains = class_gains(group[seen], key[seen], n[seen], own, totals, len(words))
-        best, at = gains.argmax(1), np.flatnonzero(own < classes)
-        stays = np.zeros(len(words), bool)
-        stays[at] = gains[at, own[at]] >= gains[at, best[at]] - 1e-6
-        if turn:
-            stays[at] |= np.array([zlib.crc32(words[i]) % 2 != turn % 2 for i in at], bool)
-        return np.where(stays, own, best)
-
-    return decide
+def _with_classes(blocks: DataFrame, classed: DataFrame) -> DataFrame:
+    """Blocks with the classes of their words; only the classes are shuffled, a byte a word."""
+    return blocks.join(classed.groupBy("block").agg(F.collect_list(F.struct("part", "cls")).alias("classed")), "block", "left")
+
+
+class Fitted:
+    """Blocks with counts, the classes of their words, the model, and how many different tokens it was trained on."""
+
+    def __init__(self, docs: DataFrame, classes: int = CLASSES, seeds: int = SEEDS, rounds: int = ROUNDS):
+        """``docs`` (id, text, held); rows that are held are not learned from."""
+        self.classes, width = classes, classes + 2
+        texts, texts_name = keep_by_block(encode_blocks(docs))
+        rows = texts.agg(F.sum("n_words")).first()[0] or 0
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // WORDS_AT_ONCE))
+        counted = stage(count_words(texts, classes, parts, seeds), "word-counts")
+        words = counted.where("block is null and word is null").agg(F.sum("n")).first()[0] or 0
+        top = counted.where("word is not null").orderBy(F.col("n").desc(), "word").limit(seeds).select("word").collect()
+        learned, learned_name = keep_by_block(counted.where("block is not null").groupBy("block").agg(
+            F.collect_list(F.struct("part", "place", "rank", "known")).alias("counted")))
+        self.tables = [texts_name, learned_name]
+        with_words = texts.join(learned, "block", "left")
+        self.blocks = with_words.drop("words")
+        place = {bytes(r["word"]): k + 1 for k, r in enumerate(top)}
+
+        def seed_pairs(block, counts):
+            of = np.array([0, *(place.get(w, -1) for w in block.words[1:])])
+            _, _, before, now = block.train_pairs(of)
+            both = (before >= 0) & (now >= 0)
+            counts += np.bincount(before[both] * (len(place) + 1) + now[both], minlength=len(counts))
+
+        pairs = cells(texts, classes, (len(place) + 1, len(place) + 1), seed_pairs)
+        seeded = dict(zip(place, exchange(pairs, classes, SEED_SWEEPS).tolist()))
+
+        def class_pairs(block, counts):
+            _, _, before, now = block.train_pairs(block.cls)
+            counts += np.bincount(before * width + now, minlength=len(counts))
+
+        self.classed = None
+        for turn in range(rounds):
+            known_seeds, blocks = (None, _with_classes(self.blocks, self.classed)) if turn else (seeded, with_words)
+            totals = cells(blocks, classes, (width, width), class_pairs, known_seeds)
+            totals[classes + 1, :] = totals[:, classes + 1] = 0  # words without a class yet
+            self.classed = stage(exchange_round(blocks, classes, known_seeds, _chooser(totals, turn)), "word-classes")
+
+        def class_triples(block, counts):
+            _, tokens, one, now = block.train_pairs(block.cls)
+            two = np.where(one == classes, classes, np.concatenate(([classes], one[:-1])))
+            counts[:width ** 3] += np.bincount((two * width + one) * width + now, minlength=width ** 3)
+            counts[width ** 3:] += np.bincount(one[(block.known[tokens] == 1) & (tokens > 0)], minlength=width)
+
+        found = cells(_with_classes(self.blocks, self.classed), classes, (width ** 3 + width,), class_triples)
+        self.model = Model(found[:width ** 3].reshape(width, width, width), found[width ** 3:])
+        self.ends = int(self.model.class_counts[classes])
+        self.kinds = int(words) + (self.ends > 0)
+
+    def each_block(self, function, schema: StructType) -> DataFrame:
+        return _each_block(_with_classes(self.blocks, self.classed), self.classes, function, schema)
+
+    def forget(self, spark) -> None:
+        """Take the tables out of the catalog; their files stay in the shared folder."""
+        for name in self.tables:
+            spark.sql(f"drop table {name}")
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out=None, classes: int = CLASSES,
@@ -471,9 +486,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     condition = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), condition.alias("held"))
-    blocks, name = keep_blocks(_blocks_of(source, source.schema["id"].dataType))
-    facts, model, kinds = fit(blocks, classes, seeds, rounds)
-    total, ends = model.tokens, int(model.class_counts[classes])
+    fitted = Fitted(source, classes, seeds, rounds)
+    model, ends, kinds, total = fitted.model, fitted.ends, fitted.kinds, fitted.model.tokens
     schema = StructType([field(source, "id"), StructField("held_out", BooleanType()), *[StructField(c, LongType()) for c in (
         "n_tokens", "n_known", "train_tokens")], StructField("base_score", DoubleType()), StructField("score", DoubleType())])
 
@@ -483,9 +497,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         first = np.cumsum(block.sizes) - block.sizes
         add = lambda x: np.add.reduceat(x, first)
         base = np.log10((block.known + 0.5) / (total + 0.5 * (kinds + 1)))[block.tokens]
-        return [block.ids, block.held, block.sizes, add((known > 0).astype(np.int64)), np.full(len(first), total), add(base),
-                add(model.token_scores(block.cls[block.tokens], known))]
+        yield [block.ids, block.held, block.sizes, add((known > 0).astype(np.int64)), np.full(len(first), total), add(base),
+               add(model.token_scores(block.cls[block.tokens], known))]
 
-    scored = stage(_each_block(_informed(blocks, facts), classes, score, schema), "scores")
-    scored.sparkSession.sql(f"drop table {name}")  # its files stay in the shared folder
+    scored = stage(fitted.each_block(score, schema), "scores")
+    fitted.forget(docs.sparkSession)
     return scored.withColumnRenamed("id", id_col)
