@@ -51,9 +51,12 @@ def resolve_rules(rules) -> dict[str, str]:
 def resolve_rule_table(rules: DataFrame) -> DataFrame:
     """(old, new) as ``resolve_rules`` gives them, of a table (seq, old, new) of any size; seq is a unique integer.
 
-    Each rule is linked to the next later rule on its new name. Links are doubled until no chain goes on.
+    Each rule is linked to the next later rule on its new name. Links are doubled until no chain goes on. A null or
+    repeated seq is an error, since the order of such rules is not known.
     """
     rules = stage(rules.select(F.col("seq").cast("long").alias("seq"), "old", "new"))
+    if not rules.groupBy("seq").count().where("count > 1 or seq is null").isEmpty():
+        raise SalesDataError("seq of the rename rules holds a null or a number twice")
     rule = lambda name, target: rules.select(F.col(name).alias("name"), "seq", target.cast("long").alias("rule"), F.lit(name).alias("kind"))
     later = Window.partitionBy("name").orderBy(F.col("seq").desc()).rangeBetween(Window.unboundedPreceding, -1)
     events = rule("old", F.col("seq")).unionByName(rule("new", F.lit(None)))

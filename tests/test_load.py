@@ -221,6 +221,10 @@ def test_rule_tables_give_the_names_of_rule_lists(spark):
     for old, new in rules:
         names = {start: new if name == old else name for start, name in names.items()}
     assert {r["old"]: r["new"] for r in transform.resolve_rule_table(table).collect()} == names == transform.resolve_rules(rules)
+    for seq in ([0, 0], [0, None]):
+        twice = spark.createDataFrame([(s, "a", "b") for s in seq], "seq int, old string, new string")
+        with pytest.raises(SalesDataError, match="seq"):
+            transform.rename_products(spark.createDataFrame([("a",)], "productname string"), twice)
 
 
 def test_null_names_have_no_base_in_the_month(spark):

@@ -246,3 +246,43 @@ def test_rollup_modes(spark):
     mapping = spark.createDataFrame([("a", "k"), ("b", "k")], "productName string, cluster string")
     r = clusters.cluster_rollup(lines, mapping).first()
     assert (r["product_name"], r["brand"], r["category"], r["total_sales"], r["quantity_sold"]) == ("a", "B1", "", 4.0, 4)
+
+
+def test_fuzzy_keys_grow_with_the_length_of_a_text(spark):
+    rng = random.Random(5)
+    texts = [(n, "".join(rng.choice("abcdefgh ij") for _ in range(n))) for n in (1, 4, 20, 80, 160, 300)]
+    frame_of = spark.createDataFrame(texts, "id long, text string").withColumn("len", F.length("text"))
+    keys = {r["id"]: r["n"] for r in clusters.gram_keys(frame_of, 90).groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert set(keys) == {n for n, _ in texts} and all(n <= 0.4 * size + 1 for size, n in keys.items())
+
+
+@pytest.mark.parametrize("threshold", [70, 80, 90, 96])
+def test_similar_texts_lose_no_pair(spark, threshold):
+    """Inserts, deletes and changed letters at all places, in short and long texts, against every pair."""
+    rng = random.Random(threshold)
+    texts = {"", "a", "b", "ab", "ba", "aaaa", "aaaaa", "aaaaaa"}
+    for size in (5, 9, 14, 30, 90):
+        for _ in range(6):
+            text = "".join(rng.choice("abc d") for _ in range(size))
+            texts.add(text)
+            for _ in range(4):
+                text = list(text)
+                for _ in range(rng.randint(1, 1 + size // 12)):
+                    at = rng.randrange(len(text))
+                    text[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "a", "b"])
+                text = "".join(text) or "z"
+                texts.add(text)
+    rows = list(enumerate(sorted(texts)))
+
+    def ratio(x, y):
+        before = [0] * (len(y) + 1)
+        for ch in x:
+            now = [0]
+            for j, other in enumerate(y):
+                now.append(before[j] + 1 if ch == other else max(before[j + 1], now[j]))
+            before = now
+        return 200.0 * before[-1] / (len(x) + len(y))
+
+    want = {(i, j) for i, x in rows for j, y in rows if i < j and x and y and ratio(x, y) >= threshold}
+    frame_of = spark.createDataFrame(rows, "id long, text string").withColumn("len", F.length("text"))
+    assert {tuple(r) for r in clusters.similar_texts(frame_of, threshold, rows_per_block=9).collect()} == want
