@@ -10,7 +10,6 @@ know of the corpus travels packed, as one row for each block and part of the wor
 a frequent word is one number a block. A part holds the words of one hash value, about ``WORDS_AT_ONCE`` numbers.
 """
 
-import uuid
 import zlib
 
 import numpy as np
@@ -19,14 +18,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType)
 
-from basketry.llm.common import arrow_schema, field, stage
-from basketry.operators.staging import scratch_path
+from basketry.llm.common import arrow_schema, field, keep_bucketed, stage, tidy
 
 CLASSES = 64  # at most 120, so that a neighbour's class and side fit one byte
 SEEDS = 512
 SEED_SWEEPS = 6
 ROUNDS = 3
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 PIECE = 1 << 20
 WORDS_AT_ONCE = 500_000
 GROUPS_AT_ONCE = 8192
@@ -139,6 +137,7 @@ def _each_block(frame: DataFrame, classes: int, function, schema: StructType, se
                     yield _record(out, kinds)
         if end:
             yield _record(end(), kinds)
+        tidy()
 
     return frame.mapInArrow(run, schema)
 
@@ -157,6 +156,8 @@ def _each_part(rows: DataFrame, function, schema: StructType) -> DataFrame:
                 held.append({n: c[0] for n, c in zip(row.schema.names, row.columns)})
         if held:
             yield from (_record(out, kinds) for out in function(now, held))
+        held = []
+        tidy()
 
     return rows.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, schema)
 
@@ -401,15 +402,6 @@ class Model:
         return np.where(cls == unseen, self.log_new[one], old)
 
 
-def keep_by_block(frame: DataFrame) -> tuple[DataFrame, str]:
-    """Rows written once, bucketed by their block, so that they meet without another shuffle; and their catalog name."""
-    spark, name = frame.sparkSession, f"blocks_{uuid.uuid4().hex}"
-    (frame.write.format("parquet").option("compression", "zstd").option("parquet.block.size.row.check.min", "2")
-     .option("parquet.page.size.row.check.min", "1").option("path", scratch_path(spark, name))
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
-    return spark.table(name), name
-
-
 def _with_classes(blocks: DataFrame, classed: DataFrame) -> DataFrame:
     """Blocks with the classes of their words; only the classes are shuffled, a byte a word."""
     return blocks.join(classed.groupBy("block").agg(F.collect_list(F.struct("part", "cls")).alias("classed")), "block", "left")
@@ -421,15 +413,14 @@ class Fitted:
     def __init__(self, docs: DataFrame, classes: int = CLASSES, seeds: int = SEEDS, rounds: int = ROUNDS):
         """``docs`` (id, text, held); rows that are held are not learned from."""
         self.classes, width = classes, classes + 2
-        texts, texts_name = keep_by_block(encode_blocks(docs))
+        texts = keep_bucketed(encode_blocks(docs), "blocks", "block")
         rows = texts.agg(F.sum("n_words")).first()[0] or 0
         parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // WORDS_AT_ONCE))
         counted = stage(count_words(texts, classes, parts, seeds), "word-counts")
         words = counted.where("block is null and word is null").agg(F.sum("n")).first()[0] or 0
         top = counted.where("word is not null").orderBy(F.col("n").desc(), "word").limit(seeds).select("word").collect()
-        learned, learned_name = keep_by_block(counted.where("block is not null").groupBy("block").agg(
-            F.collect_list(F.struct("part", "place", "rank", "known")).alias("counted")))
-        self.tables = [texts_name, learned_name]
+        learned = keep_bucketed(counted.where("block is not null").groupBy("block").agg(
+            F.collect_list(F.struct("part", "place", "rank", "known")).alias("counted")), "counts", "block")
         with_words = texts.join(learned, "block", "left")
         self.blocks = with_words.drop("words")
         place = {bytes(r["word"]): k + 1 for k, r in enumerate(top)}
@@ -468,11 +459,6 @@ class Fitted:
     def each_block(self, function, schema: StructType) -> DataFrame:
         return _each_block(_with_classes(self.blocks, self.classed), self.classes, function, schema)
 
-    def forget(self, spark) -> None:
-        """Take the tables out of the catalog; their files stay in the shared folder."""
-        for name in self.tables:
-            spark.sql(f"drop table {name}")
-
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out=None, classes: int = CLASSES,
                 seeds: int = SEEDS, rounds: int = ROUNDS) -> DataFrame:
@@ -500,6 +486,4 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield [block.ids, block.held, block.sizes, add((known > 0).astype(np.int64)), np.full(len(first), total), add(base),
                add(model.token_scores(block.cls[block.tokens], known))]
 
-    scored = stage(fitted.each_block(score, schema), "scores")
-    fitted.forget(docs.sparkSession)
-    return scored.withColumnRenamed("id", id_col)
+    return fitted.each_block(score, schema).withColumnRenamed("id", id_col)

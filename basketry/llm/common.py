@@ -1,6 +1,7 @@
 """Pieces that several corpus operators share."""
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy() -> None:
+    """Give what a task has freed back to the system, as its Python worker lives on beside the next ones."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def keep_bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
+    """Write a table to the shared folder once, bucketed, and read it back, so that rows meet by that column without
+    another shuffle. Its entry in the session's catalog is dropped at once; the files stay."""
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    (df.write.format("parquet").option("compression", "zstd").option("parquet.block.size.row.check.min", "2")
+     .option("parquet.page.size.row.check.min", "1").option("path", scratch_path(spark, name))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).saveAsTable(name))
+    kept = spark.table(name)
+    spark.sql(f"drop table {name}")
+    return kept
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``function(pa.RecordBatch) -> dict of columns`` over every non-empty batch."""
     empty = df.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
@@ -35,6 +58,7 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x := out[n], (pa.Array, pa.ChunkedArray)) else pa.array(x, kinds.field(n).type)
                      for n in names], names=names)
+        tidy()
 
     return df.mapInArrow(run, empty)
 

@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-from basketry.llm.common import arrow_schema, cover, renamed, spans_of, stage
+from basketry.llm.common import arrow_schema, cover, renamed, spans_of, stage, tidy
 
 WINDOW = 10
 PATTERN_BYTES_PER_BLOCK = 64 << 20
 BYTES_PER_PATTERN = 256  # besides its own bytes: Python objects, bucket and table entries
-SEARCH_BYTES = 4 << 20
+SEARCH_BYTES = 1 << 20
 LANE = 2048
 BLOCK = 6
 TABLE_BITS = 20
@@ -166,6 +166,7 @@ def _search(docs: DataFrame, block) -> DataFrame:
                     out["patterns"][k] = [names[i] for i in {i for i, _ in pairs}]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(out[n], kinds.field(n).type) for n in _FOUND.names]], schema=kinds)
+        tidy()
 
     return docs.mapInArrow(run, schema)
 

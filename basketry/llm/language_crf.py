@@ -23,8 +23,8 @@ SEQUENCE = 48
 ROUNDS = 50
 LANE = 512
 DOCS_AT_ONCE = 2000
-CHARS_AT_ONCE = 4_000_000
-WORDS_KEPT = 250_000
+CHARS_AT_ONCE = 2_000_000
+WORDS_KEPT = 150_000
 LONGEST_WORD = 64
 
 _ALL_BITS = (1 << 64) - 1

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from basketry.llm.common import arrow_schema, field, map_batches, renamed, stage
+from basketry.llm.common import arrow_schema, field, map_batches, renamed, stage, tidy
 from basketry.llm.tokens import encoder, tokenizer_path
 
 CAPACITY = 4096
@@ -177,6 +177,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(owner)),
                      *[pa.array(x, kinds.types[k + 1]) for k, x in enumerate(zip(*rows))]], schema=kinds)
+        tidy()
 
     return source.mapInArrow(run, schema)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from basketry.llm.common import cover, spans_of, text_key
-from basketry.llm.repeats import distinct_texts, map_texts, repeated_windows
+from basketry.llm.repeats import distinct_texts, each_alone, map_texts, repeated_windows
 
 LENGTH = 400
 TRIGGER_BYTES = 8
@@ -120,7 +120,7 @@ def _parsed(docs: DataFrame, id_col: str, text_col: str, length: int, with_bytes
     texts = distinct_texts(docs, id_col, text_col)
     tail, phrase = min(TAIL_BYTES, length // 3), min(PHRASE_BYTES, length // 5)
     marks = repeated_windows(
-        texts, "copies", lambda t: phrase_runs(t, length, tail, phrase),
+        texts, "copies", each_alone(lambda t: phrase_runs(t, length, tail, phrase)),
         [lambda data, start, n: part_runs(data, start, n, length, phrase, min(PART_WINDOWS, tail))],
         lambda t, runs: window_digests(t, runs, length), False)
     schema = StructType(_RESULT + [StructField("kept", BinaryType())] * with_bytes)

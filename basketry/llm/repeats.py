@@ -12,18 +12,17 @@ again in a run with an equal core, so:
 Texts are stored once each, bucketed by their key, so that later steps meet them without another shuffle.
 """
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from basketry.llm.common import arrow_schema, stage, text_key
-from basketry.operators.staging import scratch_path
+from basketry.llm.common import arrow_schema, keep_bucketed, stage, text_key, tidy
 
 LAST = (1 << 63) - 1
 KINDS_PER_BUCKET = 1000
+BYTES_AT_ONCE = 2 << 20
 RUN = StructType([StructField("core", LongType()), StructField("rid", LongType()), StructField("tid", LongType()),
                   StructField("weight", LongType()), StructField("start", IntegerType()), StructField("n", IntegerType())])
 PART = StructType([*RUN.fields, StructField("up_core", LongType()), StructField("up_rid", LongType()),
@@ -43,36 +42,48 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Null is the empty text. Ids are whole numbers; a null id counts as the largest.
     """
-    spark, name = docs.sparkSession, f"texts_{uuid.uuid4().hex}"
     source = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"),
                          F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     grouped = source.groupBy(text_key(F.col("text")).alias("key")).agg(
         F.any_value("text").alias("text"), F.count("*").alias("copies"), F.min("id").alias("least"))
-    numbered = grouped.withColumn("tid", F.monotonically_increasing_id())
-    numbered.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, name)).bucketBy(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), "key").saveAsTable(name)
-    return spark.table(name)
+    return keep_bucketed(grouped.withColumn("tid", F.monotonically_increasing_id()), "texts", "key")
+
+
+def each_alone(find_runs):
+    """Runs of several texts by a function for one, ``find_runs(text)``."""
+    def runs_of(texts, cores_only):
+        found = [find_runs(t) for t in texts]
+        core, rid, start, n = (np.concatenate(c) for c in zip(*found))
+        return core, rid, np.repeat(np.arange(len(found)), [len(f[0]) for f in found]), start, n
+
+    return runs_of
 
 
-def _run_rows(texts: DataFrame, weight: str, find_runs) -> DataFrame:
-    """One row per run. ``find_runs(text)`` gives the arrays (core, rid, start, n)."""
+def _run_rows(texts: DataFrame, weight: str, find_runs, cores_only: bool = False) -> DataFrame:
+    """One row per run, or its core alone. ``find_runs(texts, cores_only)`` gives the arrays (core, rid, number of the text,
+    start, n) of several texts; with ``cores_only`` all but the first may be None."""
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, found = batch.slice(at, 256), []
-                for tid, w, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    core, rid, start, n = find_runs(text)
-                    if len(core):
-                        found.append((core, rid, np.full(len(core), tid), np.full(len(core), w), start, n))
-                if found:
-                    columns = [np.concatenate(c) for c in zip(*found)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0].view(np.int64)), pa.array(columns[1].view(np.int64)), pa.array(columns[2]),
-                         pa.array(columns[3]), *[pa.array(c.astype(np.int32)) for c in columns[4:]]], schema=kinds)
-
-    kinds = arrow_schema(RUN)
-    return texts.select("tid", weight, "text").mapInArrow(run, RUN)
+            lengths = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy().cumsum()
+            at = 0
+            while at < batch.num_rows:
+                before = lengths[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(lengths, before + BYTES_AT_ONCE, side="right")))
+                part, at = batch.slice(at, end - at), end
+                core, rid, owner, start, n = find_runs(part.column(2).to_pylist(), cores_only)
+                if cores_only:
+                    columns = [core.view(np.int64)]
+                else:
+                    tid, w = (part.column(i).to_numpy()[owner] for i in (0, 1))
+                    columns = [core.view(np.int64), rid.view(np.int64), tid, w, start.astype(np.int32), n.astype(np.int32)]
+                for row in range(0, len(core), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[row:row + 50_000]) for c in columns], schema=kinds)
+        tidy()
+
+    schema = StructType(RUN.fields[:1]) if cores_only else RUN
+    kinds = arrow_schema(schema)
+    return texts.select("tid", weight, "text").mapInArrow(run, schema)
 
 
 def _by_text(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -179,7 +190,7 @@ def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, windo
     unsettled = "max(total) > min(total)" if by_order else "min(total) = 1"
 
     def settle(rows, again, keys, at, level) -> DataFrame:
-        """(*keys, at, n): repeated windows of ``rows``, counted from ``at``. ``again`` makes the rows once more."""
+        """(*keys, at, n): repeated windows of ``again``, counted from ``at``. ``rows`` are the same or have less columns."""
         times = F.count("*") if by_order else F.sum("weight")
         cores = rows.groupBy("core").agg(times.alias("times")).where("times > 1").select("core")
         shared = stage(again.join(cores, "core", "left_semi"), "shared-runs")
@@ -206,8 +217,8 @@ def repeated_windows(texts: DataFrame, weight: str, find_runs, cuts: list, windo
             found = single.join(counted, "w").where(settled).select("up_core", "up_rid", "place", F.lit(1).alias("n"))
         return found.withColumnsRenamed({"up_core": "core", "up_rid": "rid", "place": "part_place"})
 
-    # The rows of all texts are cheaper to make twice than to keep.
-    first, second = (_run_rows(texts, weight, find_runs) for _ in range(2))
+    # The rows of all texts are cheaper to make twice than to keep; where copies don't count, cores alone come first.
+    first, second = (_run_rows(texts, weight, find_runs, cores_only) for cores_only in (by_order, False))
     marks = settle(first, second, ["tid"], "start", 0)
     return marks.groupBy("tid").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
 
@@ -225,5 +236,6 @@ def map_texts(texts: DataFrame, marks: DataFrame, function, schema: StructType)
                         for text, found in zip(part.column(3).to_pylist(), part.column(4).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(3)] + [pa.array(c, t) for c, t in zip(zip(*rows), out.types[3:])], schema=out)
+        tidy()
 
     return _by_text(texts, marks, "left").select("key", "copies", "least", "text", "marks").mapInArrow(run, kept)

@@ -68,25 +68,41 @@ def _first_least(code: np.ndarray, width: int) -> np.ndarray:
     return ((np.minimum(least[:len(least) - rest], least[rest:]) if rest else least) & low).astype(np.int64)
 
 
-def super_kmers(text: str, window: int = WINDOW, group: int = MINIMISER_WORDS):
-    """Runs of windows with the same minimiser."""
-    words = words_of(text)
-    if len(words) < window:
-        return [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2
-    hashes, sizes = word_hashes(words), np.array([len(w) for w in words])
+def super_kmers(texts: list, window: int = WINDOW, group: int = MINIMISER_WORDS, cores_only: bool = False):
+    """(core, digest, number of the text, start, n) of the runs of windows with the same minimiser, of several texts side
+    by side; with ``cores_only`` the cores alone."""
+    found = [(i, w) for i, w in enumerate(map(words_of, texts)) if len(w) >= window]
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    words = [w for _, own in found for w in own]
+    counts = np.array([len(own) for _, own in found])
+    begins = np.cumsum(counts) - counts
+    hashes = word_hashes(words)
     n = len(words) - group + 1
     code = np.zeros(n, np.uint64)
     for k in range(group):
         code += hashes[k:k + n] * _FACTORS[k]
     code = _scramble(code)
     at = _first_least(code, window - group + 1)
-    first = np.flatnonzero(np.diff(at, prepend=-1))
-    last = np.append(first[1:] - 1, len(at) - 1)
+    # Windows that reach into the next text are left out.
+    inside = np.ones(len(words), bool)
+    ends = np.cumsum(counts)
+    inside[(ends[:, None] - np.arange(1, window)).ravel()] = False
+    place = np.flatnonzero(inside[:len(at)])
+    at = at[place]
+    cut = np.flatnonzero(np.diff(at, prepend=-1))
+    first, core = place[cut], code[at[cut]]
+    if cores_only:
+        return core, None, None, None, None
+    numbers = np.diff(np.append(cut, len(place)))
+    last = first + numbers - 1
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     view, digest = memoryview(b" ".join(words)), xxhash.xxh3_64_intdigest
-    ends = np.cumsum(sizes + 1) - 1
-    begin, stop = (ends - sizes)[first], ends[last + window - 1]
-    rid = np.array([digest(view[s:e], k) for s, e, k in zip(begin.tolist(), stop.tolist(), (at[first] - first).tolist())], np.uint64)
-    return code[at[first]], rid, first, last - first + 1
+    stops = np.cumsum(sizes + 1) - 1
+    rid = np.array(list(map(digest, map(view.__getitem__, map(slice, (stops - sizes)[first].tolist(), stops[last + window - 1].tolist())),
+                            (at[cut] - first).tolist())), np.uint64)
+    owner = np.searchsorted(ends, first, side="right")
+    return core, rid, np.array([i for i, _ in found])[owner], first - begins[owner], numbers
 
 
 def packed_words(text: str, runs: list, window: int = WINDOW) -> list:
@@ -134,7 +150,7 @@ def find_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row. Other columns are not read.
     """
     texts = distinct_texts(docs, id_col, text_col)
-    marks = repeated_windows(texts, "least", lambda t: super_kmers(t, window, min(MINIMISER_WORDS, (window + 1) // 2)), [],
+    marks = repeated_windows(texts, "least", lambda t, cores_only: super_kmers(t, window, min(MINIMISER_WORDS, (window + 1) // 2), cores_only), [],
                              lambda t, runs: packed_words(t, runs, window), True,
                              lambda pieces: counted_bucket(pieces, window), lambda packed: unpacked(packed, window))
     schema = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])

@@ -4,13 +4,15 @@ Such a tokenizer gives a text the ids of its white-space separated words, one af
 encodes a word once and keeps its ids; the store of words is bounded and never changes a result.
 """
 
-import functools
 import json
+import re
 from array import array
 
 _SPACES = bytes.maketrans(b"\t\n\r", b"   ")
+# The rest of a word from its first letter beyond ASCII.
+_BEYOND_ASCII = re.compile(rb"[\x80-\xff][^ ]*")
 _SPACES_LOWER = bytes(32 if c in (9, 10, 13) else c + 32 if 65 <= c < 91 else c for c in range(256))
-WORDS_KEPT = 700_000
+WORDS_KEPT = 350_000
 LONGEST_KEPT = 64
 PIECE = 1 << 20
 
@@ -34,39 +36,54 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of a text; nothing for null."""
         data, parts, at = (text or "").encode(), [], 0
         lowers = self.lowers and b"<|" not in data
-        data = data.translate(_SPACES_LOWER if lowers and data.isascii() else _SPACES)
-        lowers = lowers and not data.isascii()
+        plain = data.translate(_SPACES)
+        data = self._lower_ascii_words(plain) if lowers else plain
         while at < len(data):
             end = len(data) if len(data) - at <= PIECE else data.rfind(b" ", at, at + PIECE)
             if end <= at:  # a word longer than a piece
                 end = data.find(b" ", at + PIECE)
                 end = len(data) if end < 0 else end
-            words = data[at:end].split(b" ")
-            if lowers:
-                words = [low if low.isascii() else w for w, low in zip(words, data[at:end].translate(_SPACES_LOWER).split(b" "))]
-            parts.append(self._piece(words))
+            parts.append(self._piece(data[at:end].split(b" ")))
             at = end + 1
         return b"".join(parts)
 
+    @staticmethod
+    def _lower_ascii_words(data: bytes) -> bytes:
+        """A-Z in lower case in all words but those with letters beyond ASCII."""
+        low = data.translate(_SPACES_LOWER)
+        if data.isascii():
+            return low
+        low = bytearray(low)
+        for found in _BEYOND_ASCII.finditer(data):
+            first = data.rfind(b" ", 0, found.start()) + 1
+            low[first:found.end()] = data[first:found.end()]
+        return bytes(low)
+
     def _piece(self, words: list) -> bytes:
         known = self.known
-        new = {w for w in words if w not in known}
-        if not new:
-            return b"".join(map(known.__getitem__, words))
-        extra = self._encode(list(new))
-        ids = b"".join([known[w] if w in known else extra[w] for w in words])
+        found = list(map(known.get, words))
+        if None not in found:
+            return b"".join(found)
+        extra = self._encode(list({w for w, x in zip(words, found) if x is None}))
+        ids = b"".join([extra[w] if x is None else x for w, x in zip(words, found)])
         if len(known) < WORDS_KEPT:
             known.update((w, x) for w, x in extra.items() if len(w) <= LONGEST_KEPT)
         return ids
 
 
-@functools.lru_cache(maxsize=4)
 def encoder(path: str, special_as_text: bool = False) -> WordEncoder:
-    """One encoder for each worker process."""
+    """One encoder for each worker process, the last one asked for. It is held by a module that every worker has, as this
+    package travels with the job."""
     import os
 
+    import tokenizers
+
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return WordEncoder(path, special_as_text)
+    held = tokenizers.__dict__.setdefault("_held_encoder", {})
+    if (path, special_as_text) not in held:
+        held.clear()
+        held[path, special_as_text] = WordEncoder(path, special_as_text)
+    return held[path, special_as_text]
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
