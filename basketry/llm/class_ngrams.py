@@ -85,7 +85,7 @@ def encode_blocks(docs: DataFrame) -> DataFrame:
 
 
 class Block:
-    """A block read back. Its training words are listed part by part in ``place``; ``known`` and ``cls`` are what has
+    """A block read back. Its words that training texts of any block hold are listed part by part in ``place``; ``known`` and ``cls`` are what has
     been learned of each word of its list: the count, and the class (``classes``: the end of a text; one more: none)."""
 
     def __init__(self, row: dict, classes: int, seeded: dict):
@@ -170,10 +170,10 @@ _LEARNED = StructType([StructField("part", IntegerType()), StructField("block",
 
 
 def count_words(blocks: DataFrame, classes: int, parts: int, tops: int) -> DataFrame:
-    """Counts of the training words, the words of a part in the order of their bytes."""
+    """Counts in the training texts of all words that occur there, the words of a part in the order of their bytes."""
     def count(block):
         n = np.bincount(block.tokens[block.train], minlength=len(block.words))
-        at = np.flatnonzero(n[1:]) + 1
+        at = np.arange(1, len(block.words))  # also words of held-out texts alone, which other blocks may know
         part = np.array([zlib.crc32(block.words[i]) % parts for i in at.tolist()], np.int64)
         at = at[np.argsort(part, kind="stable")]
         used, first = np.unique(np.sort(part), return_index=True)
@@ -188,11 +188,16 @@ def count_words(blocks: DataFrame, classes: int, parts: int, tops: int) -> DataF
         known = np.zeros(len(listed), np.int64)
         for r, own in zip(rows, ranks):
             known[own] += np.frombuffer(r["n"].as_buffer(), np.int64)
+        used = known > 0
+        place_of = np.cumsum(used) - 1
         for r, own in zip(rows, ranks):
-            yield [[x] for x in (part, r["block"].as_py(), r["place"].as_py(), own.tobytes(), known[own].tobytes(), None, None)]
-        first = sorted(zip((-known).tolist(), listed))[:tops]
+            keep = used[own]
+            if keep.any():
+                place, own = np.frombuffer(r["place"].as_buffer(), np.int32)[keep], own[keep]
+                yield [[x] for x in (part, r["block"].as_py(), place.tobytes(), place_of[own].astype(np.int32).tobytes(), known[own].tobytes(), None, None)]
+        first = sorted((-k, w) for k, w in zip(known.tolist(), listed) if k)[:tops]
         none = [None] * (len(first) + 1)
-        yield [[part] * len(none), none, none, none, none, [w for _, w in first] + [None], [-k for k, _ in first] + [len(listed)]]
+        yield [[part] * len(none), none, none, none, none, [w for _, w in first] + [None], [-k for k, _ in first] + [int(used.sum())]]
 
     return _each_part(_each_block(blocks, classes, count, _COUNTED), settle, _LEARNED)
 
