@@ -286,3 +286,38 @@ def test_similar_texts_lose_no_pair(spark, threshold):
     want = {(i, j) for i, x in rows for j, y in rows if i < j and x and y and ratio(x, y) >= threshold}
     frame_of = spark.createDataFrame(rows, "id long, text string").withColumn("len", F.length("text"))
     assert {tuple(r) for r in clusters.similar_texts(frame_of, threshold, rows_per_block=9).collect()} == want
+
+
+def test_vectors_visit_few_cells(spark):
+    """On clustered vectors less than a fifth of the pairs of vector and cell are opened, and no similar vector is lost."""
+    rng = np.random.default_rng(9)
+    heads = rng.normal(size=(30, 16))
+    x = heads[np.arange(900) % 30] + rng.normal(scale=0.05, size=(900, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] = 0
+    units = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>").repartition(4)
+    rows = clusters.vector_cells(units, 0.95, "bigint", per_cell=30).collect()
+    cell, visits = {r["id"]: r["cell"] for r in rows}, {r["id"]: set(r["visits"]) for r in rows}
+    assert len(rows) == 900 and cell[7] == -1 and not visits[7] and len(set(cell.values())) == 31
+    assert sum(map(len, visits.values())) < 0.2 * 900 * 30
+    near = np.argwhere(x @ x.T >= 0.95)
+    assert all(cell[i] in visits[j] for i, j in near.tolist())
+
+
+@pytest.mark.parametrize("per_cell, block", [(1000, 10_000), (9, 4), (3, 10_000)])
+def test_embedding_clusters_by_cells(spark, per_cell, block):
+    rng = np.random.default_rng(4)
+    heads = rng.normal(size=(9, 5))
+    rows = [(i, (heads[i % 9] + rng.normal(scale=(0.05, 0.4)[i % 2], size=5)).tolist()) for i in range(150)] + [(200, [0.0] * 5), (201, [0.0] * 5)]
+    rows += [(300 + i, rows[i][1]) for i in range(5)]
+    unit = np.array([np.array(v) / (np.linalg.norm(v) or 1) for _, v in rows])
+    leaders, want = [], {}
+    for k, (i, v) in enumerate(rows):
+        same = [j for j in range(k) if rows[j][1] == v]
+        lead = next((j for j in leaders if unit[k] @ unit[j] >= 0.9 - 1e-9), None)
+        want[i] = want[rows[same[0]][0]] if same else i if lead is None else rows[lead][0]
+        if not same and lead is None:
+            leaders.append(k)
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = clusters.embedding_clusters(vectors, 0.9, rows_per_block=block, per_cell=per_cell)
+    assert dict(map(tuple, found.collect())) == want
