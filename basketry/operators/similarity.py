@@ -5,6 +5,7 @@ pair work is done once per distinct vector, with the number of names as a weight
 nothing however many there are.
 """
 
+from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -317,24 +318,72 @@ def analyze_groups(groups: DataFrame, representatives: DataFrame) -> DataFrame:
         "group_id", "representative", "group_size", (F.col("s_no") - F.col("first") + 1).alias("position"), "productName")
 
 
+def _kruskal(edges: list) -> list:
+    """A spanning forest of the strongest of ``edges`` (a, b, similarity)."""
+    parent, kept = {}, []
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for edge in sorted(edges, key=lambda e: (-e[2], e)):
+        ra, rb = root(edge[0]), root(edge[1])
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+            kept.append(edge)
+    return kept
+
+
+def _strongest_edges(batches):
+    """Of a partition's pairs those that a chain of stronger ones does not make up for. What is held is cut back to a
+    forest time and again; a forest of too many nodes is given out and a new one begun, which never loses a link."""
+    held, limit = [], FOREST_NODES // 8
+    out = lambda edges: pd.DataFrame(edges, columns=["vec_a", "vec_b", "similarity"])
+    for batch in batches:
+        held += zip(batch["vec_a"], batch["vec_b"], batch["similarity"])
+        if len(held) > limit:
+            held = _kruskal(held)
+            if len(held) > FOREST_NODES:
+                yield out(held)
+                held = []
+            limit = max(FOREST_NODES // 8, 2 * len(held))
+    yield out(_kruskal(held))
+
+
+def strongest_forest(pairs: DataFrame) -> DataFrame:
+    """Pairs (vec_a, vec_b, similarity), at most one for each node and partition, that link the same nodes as all
+    ``pairs`` at every threshold: the weakest pair of a ring is never needed."""
+    return pairs.select("vec_a", "vec_b", "similarity").mapInPandas(_strongest_edges, "vec_a string, vec_b string, similarity double")
+
+
 def compare_thresholds(names: DataFrame, thresholds=COMPARED_THRESHOLDS, stop_words=None) -> DataFrame:
-    """Group counts per threshold. Pairs are found once, for the lowest threshold."""
-    texts = product_texts(names)
+    """Group counts per threshold. Pairs are found once, for the lowest threshold, and kept as a forest only. Groups are
+    merged from the highest threshold down, each time along the forest's pairs between two thresholds."""
+    texts = stage(product_texts(names))
     vectors = stage(text_vectors(texts, stop_words))
-    pairs = stage(similar_pairs(vectors, min(thresholds)))
-    parts = []
-    for t in thresholds:
-        components = connected_components(pairs.where(F.col("similarity") >= t - _EPSILON))
-        sizes = _named_groups(texts, vectors, components).groupBy("group_id").agg(F.count("*").alias("size"))
-        parts.append(sizes.agg(
-            F.lit(float(t)).alias("threshold"), F.count("*").alias("total_groups"),
+    forest = stage(strongest_forest(similar_pairs(vectors, min(thresholds))))
+    alone = texts.join(vectors.select("text"), "text", "left_anti").count()  # names whose text keeps no term
+    nodes = distinct_vectors(vectors).select("vec_id", F.col("vec_id").alias("root"), "n_names")
+    parts, above = {}, None
+    for t in sorted(set(thresholds), reverse=True):
+        new = F.col("similarity") >= t - _EPSILON
+        edges = forest.where(new if above is None else new & (F.col("similarity") < above - _EPSILON))
+        for end in ("vec_a", "vec_b"):
+            edges = edges.join(nodes.select(F.col("vec_id").alias(end), F.col("root").alias(f"root_{end}")), end)
+        links = edges.select(F.least("root_vec_a", "root_vec_b").alias("vec_a"), F.greatest("root_vec_a", "root_vec_b").alias("vec_b"))
+        merged = connected_components(links).withColumnRenamed("root", "merged")
+        nodes = stage(nodes.join(merged, F.col("root") == F.col("node"), "left").select(
+            "vec_id", F.coalesce("merged", "root").alias("root"), "n_names"))
+        sizes = nodes.groupBy("root").agg(F.sum("n_names").alias("size"))
+        groups, members = F.count("*") + alone, F.coalesce(F.sum("size"), F.lit(0)) + alone
+        parts[t], above = sizes.agg(
+            F.lit(float(t)).alias("threshold"), groups.alias("total_groups"),
             F.count_if(F.col("size") > 1).alias("multi_product_groups"),
-            F.count_if(F.col("size") == 1).alias("single_product_groups"),
-            ratio((F.sum("size") - F.count("*")) * 100, F.sum("size")).alias("reduction_percentage")))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+            (F.count_if(F.col("size") == 1) + alone).alias("single_product_groups"),
+            ratio((members - groups) * 100, members).alias("reduction_percentage")), t
+    return reduce(DataFrame.unionByName, [parts[t] for t in thresholds])
 
 
 def consolidation_impact(before: DataFrame, after: DataFrame, value: str = "sales") -> DataFrame:

@@ -321,3 +321,34 @@ def test_embedding_clusters_by_cells(spark, per_cell, block):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     found = clusters.embedding_clusters(vectors, 0.9, rows_per_block=block, per_cell=per_cell)
     assert dict(map(tuple, found.collect())) == want
+
+
+def test_thresholds_share_one_forest(spark, sample):
+    names, vectors = sample
+    thresholds = [0.7, 0.4, 0.9, 0.5]
+    rows = {r["threshold"]: r for r in similarity.compare_thresholds(frame(spark, names), thresholds, []).collect()}
+    assert list(rows) == thresholds
+    for t, r in rows.items():
+        sizes = Counter(plain_groups(names, vectors, t).values()).values()
+        assert (r["total_groups"], r["multi_product_groups"], r["single_product_groups"]) == (
+            len(sizes), sum(n > 1 for n in sizes), sum(n == 1 for n in sizes))
+
+
+def test_forest_keeps_the_groups_of_every_threshold(spark, monkeypatch):
+    rng = random.Random(7)
+    nodes = [f"n{i:03d}" for i in range(120)]
+    pairs = [(*sorted(rng.sample(nodes, 2)), round(rng.random(), 2)) for _ in range(3000)]
+    monkeypatch.setattr(similarity, "FOREST_NODES", 160)
+    table = spark.createDataFrame(pairs, "vec_a string, vec_b string, similarity double").repartition(5)
+    kept = [tuple(r) for r in similarity.strongest_forest(table).collect()]
+    assert set(kept) <= set(pairs) and len(kept) <= 5 * len(nodes)
+
+    def groups(edges, t):
+        label = {n: n for n in nodes}
+        for a, b, w in edges:
+            if w >= t and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {n: low if v == high else v for n, v in label.items()}
+        return label
+
+    assert all(groups(kept, t) == groups(pairs, t) for t in (0.0, 0.5, 0.9, 0.95, 0.99, 1.0))
