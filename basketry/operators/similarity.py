@@ -78,7 +78,10 @@ def text_vectors(texts: DataFrame, stop_words=None, max_features: int = MAX_FEAT
     equal vec_id, a digest of their terms.
     """
     terms = _terms(texts, stop_words)
-    vocab = vocabulary(terms, texts, max_features)
+    return _weighted_vectors(terms, vocabulary(terms, texts, max_features))
+
+
+def _weighted_vectors(terms: DataFrame, vocab: DataFrame) -> DataFrame:
     weighted = terms.join(vocab, "term").select(
         "text", "n_names", F.struct(F.col("rank"), "term", "tf", (F.col("tf") * F.col("idf")).alias("raw")).alias("x"))
     grouped = weighted.groupBy("text", "n_names").agg(F.sort_array(F.collect_list("x")).alias("xs"))
@@ -420,3 +423,56 @@ def save_groups(path: str, groups: DataFrame, representatives: DataFrame, thresh
 
 def load_groups(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(spark.read.parquet(f"{path}/{t}") for t in ("groups", "representatives", "settings"))
+
+
+def save_model(path: str, names: DataFrame, groups: DataFrame, representatives: DataFrame, threshold: float, trained_on,
+               stop_words=None, max_features: int = MAX_FEATURES) -> None:
+    """Store groups, representatives and settings, and what new names are scored with: the vocabulary, the stop words
+    and the vectors of the representatives."""
+    save_groups(path, groups, representatives, threshold, trained_on)
+    spark = names.sparkSession
+    stop_words = default_stop_words() if stop_words is None else list(stop_words)
+    spark.createDataFrame([(w,) for w in stop_words], "word string").write.mode("overwrite").parquet(f"{path}/stop_words")
+    texts = stage(product_texts(names))
+    terms = stage(_terms(texts, stop_words))
+    vocabulary(terms, texts, max_features).write.mode("overwrite").parquet(f"{path}/vocabulary")
+    vectors = _weighted_vectors(terms, spark.read.parquet(f"{path}/vocabulary"))
+    chosen = representatives.select(F.col("representative").alias("productName")).distinct()
+    texts.join(chosen, "productName").join(vectors, "text").select(
+        F.col("productName").alias("representative"), "terms").write.mode("overwrite").parquet(f"{path}/representative_vectors")
+
+
+def score_names(spark: SparkSession, path: str, names: DataFrame, threshold: float = None) -> DataFrame:
+    """(productName, representative, similarity): the most similar stored representative of each name, by the stored
+    vocabulary, or nulls where none reaches the threshold (by default that of the groups). Equal ones go by name.
+
+    The names need not have been trained on; terms outside the vocabulary count for nothing. A name meets the
+    representatives by its rarest terms only: beyond them its weights can't reach the threshold.
+    """
+    if threshold is None:
+        threshold = spark.read.parquet(f"{path}/settings").first()["threshold"]
+    stop_words = [r["word"] for r in spark.read.parquet(f"{path}/stop_words").collect()]  # a list given by the caller
+    texts = stage(product_texts(names))
+    vectors = stage(_weighted_vectors(_terms(texts, stop_words), spark.read.parquet(f"{path}/vocabulary")))
+    pairs = _representative_pairs(distinct_vectors(vectors), spark.read.parquet(f"{path}/representative_vectors"), threshold)
+    best = pairs.withColumn("similarity", rounded("similarity", 6)).groupBy("vec_id").agg(
+        F.min(F.struct((-F.col("similarity")).alias("order"), "representative", "similarity")).alias("best"))
+    return texts.join(vectors.select("text", "vec_id"), "text", "left").join(best, "vec_id", "left").select(
+        "productName", "best.representative", "best.similarity")
+
+
+def _representative_pairs(vectors: DataFrame, stored: DataFrame, threshold: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """(vec_id, representative, similarity) of at least the threshold, by an inverted index of the stored terms."""
+    ranks = lambda c: F.transform(c, lambda x: x["rank"])
+    rest = F.transform(F.sequence(F.lit(1), F.size("terms")), lambda i: F.aggregate(
+        F.slice("terms", i, F.size("terms")), F.lit(0.0), lambda acc, x: acc + x["weight"] * x["weight"]))
+    lead = F.filter(F.zip_with(ranks("terms"), "rest", lambda r, w: F.struct(r.alias("rank"), w.alias("rest"))),
+                    lambda x: x["rest"] >= threshold * threshold - _EPSILON)
+    new = vectors.withColumn("rest", rest).withColumn("lead", ranks(lead)).select("vec_id", "terms", "lead", F.explode("lead").alias("rank"))
+    index = stored.select("representative", F.col("terms").alias("stored"), F.explode(ranks("terms")).alias("rank"))
+    weights = F.map_from_entries(F.transform("stored", lambda x: F.struct(x["rank"], x["weight"])))
+    product = F.aggregate("terms", F.lit(0.0), lambda acc, x: acc + x["weight"] * F.coalesce(F.element_at(weights, x["rank"]), F.lit(0.0)))
+    condition = (F.array_min(F.array_intersect("lead", ranks("stored"))) == F.col("rank")) & (product >= threshold - _EPSILON)
+    sizes = block_sizes(new, index, "rank", rows_per_block)
+    return grid_join(new, index, "rank", "vec_id", "representative", condition, sizes).select(
+        "vec_id", "representative", F.least(product, F.lit(1.0)).alias("similarity"))

@@ -167,6 +167,31 @@ query("save_and_load_groups", _saved, _MAP + f"""\nselect "productName", represe
  date '2024-04-30' as trained_on, (select count(*) from texts) as product_count from product_map""")
 
 
+def _new_names(s, d):
+    """Names that no product has, from the words of those sold, stored model first."""
+    path, sold = scratch_path(s, "name-model"), names(s, d)
+    similarity.save_model(path, sold, *_mapping(s, d), LOOSE, dt.date(2024, 4, 30))
+    word = lambda n: F.split_part("productName", F.lit(" "), F.lit(n))
+    return similarity.score_names(s, path, sold.select(F.concat(word(2), F.lit(" "), word(1), F.lit(" deluxe")).alias("productName")).distinct())
+
+
+_NEW_GRAMS = " union all ".join(
+    f"select new_name, array_to_string(tokens[i : i + {n - 1}], ' ') as term from new_tokens, "
+    f"unnest(generate_series(1, len(tokens) - {n - 1})) as g(i)" for n in (1, 2, 3))
+query("score_new_names", _new_names, _MAP + f""",
+ new_names as (select distinct split_part("productName", ' ', 2) || ' ' || split_part("productName", ' ', 1) || ' deluxe' as new_name from billing
+ where "productName" is not null),
+ new_tokens as (select new_name, regexp_extract_all({preprocess_sql("new_name")}, '\\b[a-zA-Z][a-zA-Z]+\\b') as tokens from new_names),
+ new_raw as (select new_name, term, tf * (ln((1.0 + (select count(*) from texts)) / (1.0 + df)) + 1) as w
+ from (select new_name, term, count(*) as tf from ({_NEW_GRAMS}) group by 1, 2) join vocab using (term)),
+ new_weights as (select new_name, term, w / sqrt(sum(w * w) over (partition by new_name)) as weight from new_raw),
+ scored_new as (select new_name, representative, least(sum(a.weight * b.weight), 1.0) as s from new_weights a join weights b using (term)
+ join texts on texts.text = b.text join reps on reps.representative = texts."productName" group by 1, 2),
+ best_new as (select new_name, representative, similarity, row_number() over (partition by new_name order by similarity desc, representative) as r
+ from (select new_name, representative, {rounded('s', 6)} as similarity from scored_new where s >= {LOOSE} - 1e-9))
+select new_name as "productName", representative, similarity from new_names left join (select * from best_new where r = 1) using (new_name)""")
+
+
 def _leaders_sql():
     """Leaders among the rows 1.. of v, one after the other; near lists the similar earlier rows of a row."""
     return """steps(i, leaders) as (select cast(0 as bigint), cast([] as bigint[]) union all

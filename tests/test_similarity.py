@@ -352,3 +352,28 @@ def test_forest_keeps_the_groups_of_every_threshold(spark, monkeypatch):
         return label
 
     assert all(groups(kept, t) == groups(pairs, t) for t in (0.0, 0.5, 0.9, 0.95, 0.99, 1.0))
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6])
+def test_new_names_meet_stored_representatives(spark, sample, tmp_path, threshold):
+    names, vectors = sample
+    df, path = frame(spark, names), str(tmp_path / "model")
+    groups, representatives = similarity.fit_groups(df, 0.7, [])
+    similarity.save_model(path, df, groups, representatives, 0.7, None, [])
+    tokens = {n: Counter(" ".join(t[i:i + k]) for k in (1, 2, 3) for t in [re.findall(r"[a-zA-Z]{2,}", plain_text(n))] for i in range(len(t) - k + 1)) for n in names}
+    df_of = Counter(t for c in tokens.values() for t in c)
+    kept = {t for v in vectors.values() for t in v}
+    new = ["choco bar supreme", "dark milk", "never heard", "LEMON lime 7ml", "salt", ""]
+    want = {}
+    for name in new:
+        words = re.findall(r"[a-zA-Z]{2,}", plain_text(name.lower()))
+        grams = Counter(" ".join(words[i:i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+        raw = {t: n * (math.log((1 + len(names)) / (1 + df_of[t])) + 1) for t, n in grams.items() if t in kept}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        scored = [(-round(cosine({t: w / norm for t, w in raw.items()}, vectors[r["representative"]]), 6), r["representative"])
+                  for r in representatives.collect()] if norm else []
+        scored = sorted(x for x in scored if -x[0] >= threshold)
+        want[name] = (scored[0][1], -scored[0][0]) if scored else (None, None)
+    found = similarity.score_names(spark, path, frame(spark, new), threshold).collect()
+    assert {r["productName"]: (r["representative"], r["similarity"]) for r in found} == want
+    assert any(v[0] for v in want.values()) and want["never heard"] == (None, None)
