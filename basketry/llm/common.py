@@ -22,10 +22,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def tidy() -> None:
-    """Give what a task has freed back to the system, as its Python worker lives on beside the next ones."""
+def tidy(keep_encoder: bool = False) -> None:
+    """Give what a task has freed back to the system, as its Python worker lives on beside the next ones. The word store
+    of the tokenizer goes too, unless the task belongs to an operator that uses it."""
     import ctypes
+    import sys
 
+    if not keep_encoder and "tokenizers" in sys.modules:
+        sys.modules["tokenizers"].__dict__.get("_held_encoder", {}).clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -44,7 +48,7 @@ def keep_bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
     return kept
 
 
-def map_batches(df: DataFrame, function, schema) -> DataFrame:
+def map_batches(df: DataFrame, function, schema, keep_encoder: bool = False) -> DataFrame:
     """``function(pa.RecordBatch) -> dict of columns`` over every non-empty batch."""
     empty = df.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     names = empty.fieldNames()
@@ -58,7 +62,7 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x := out[n], (pa.Array, pa.ChunkedArray)) else pa.array(x, kinds.field(n).type)
                      for n in names], names=names)
-        tidy()
+        tidy(keep_encoder)
 
     return df.mapInArrow(run, empty)
 

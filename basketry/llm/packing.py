@@ -177,7 +177,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(owner)),
                      *[pa.array(x, kinds.types[k + 1]) for k, x in enumerate(zip(*rows))]], schema=kinds)
-        tidy()
+        tidy(keep_encoder=True)
 
     return source.mapInArrow(run, schema)
 
@@ -204,7 +204,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                       "offset": slots["offset"][at] + inside % slots["repeats"][at] * length}
 
     schema = StructType([*ranked.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return map_batches(ranked, place, schema).drop("part", "local_rank", "base", "rank")
+    return map_batches(ranked, place, schema, keep_encoder=True).drop("part", "local_rank", "base", "rank")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = None,

@@ -89,7 +89,7 @@ def _scanned(blocks: DataFrame, end_id: int, width: int) -> DataFrame:
             ends.append(np.flatnonzero(values == end_id).astype(np.int32))
         return {"file_id": batch.column("file_id"), "block_no": batch.column("block_no"), "n": n, "ends": ends}
 
-    return map_batches(blocks.select("file_id", F.col("block_no").cast("long").alias("block_no"), "ids"), scan, schema)
+    return map_batches(blocks.select("file_id", F.col("block_no").cast("long").alias("block_no"), "ids"), scan, schema, keep_encoder=True)
 
 
 def count_tokens(blocks: DataFrame, end_id: int = END_OF_DOCUMENT, width: int = WIDTH,
