@@ -1,52 +1,46 @@
-"""Facts behind the recommendations: reserved names, candidates, action bands, headline signal."""
+"""Facts behind the recommendations: reserved names, candidates, action bands, headline signal.
+
+``rows`` are report rows or, to have the signals worked out once, their ``signal_groups``.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.clean import _col
-from basketry.operators.signals import _group, group_figures, ranked_signals
+from basketry.operators.signals import group_figures, item_at, scored, signal_groups
 from basketry.operators.trends import GROUP, KEY
+
 RESERVED = 2
 MARGIN_CANDIDATES = 5
 GEM_CANDIDATES = 3
 
 
 def reserved_top2(rows: DataFrame) -> DataFrame:
-    ranked = ranked_signals(rows)
-    return ranked.where(F.col("sales_rank") <= RESERVED).select(*KEY, "sales_rank", "sales", "margin")
+    return scored(rows).where(F.col("sales_rank") <= RESERVED).select(*KEY, "sales_rank", "sales", "margin")
 
 
-def _margin_place() -> Column:
-    """Place of a row in the list of low margins followed by high risks; null for reserved names."""
-    return F.when(F.col("sales_rank") > RESERVED, F.coalesce(
-        F.col("low_margin_items"), F.col("high_risk_items") + 100))
+def _candidates() -> Column:
+    """(list_no, place) of low margins followed by high risks, without reserved names."""
+    listed = lambda number, signal: F.transform(
+        F.filter(signal, lambda place: place > RESERVED), lambda place: F.struct(F.lit(number).alias("list_no"), place.alias("place")))
+    return F.concat(listed(1, "low_margin_items"), listed(2, "high_risk_items"))
 
 
 def margin_risk_candidates(rows: DataFrame) -> DataFrame:
     """Low margins, then high risks, without reserved names; a name may come from both lists."""
-    places = F.array_compact(F.array(
-        F.when(F.col("low_margin_items").isNotNull(),
-               F.struct(F.lit(1).alias("list_no"), F.col("low_margin_items").alias("place"))),
-        F.when(F.col("high_risk_items").isNotNull(),
-               F.struct(F.lit(2).alias("list_no"), F.col("high_risk_items").alias("place")))))
-    listed = ranked_signals(rows).where(F.col("sales_rank") > RESERVED).select(
-        *KEY, "sales", "margin", "risk_score", F.explode(places).alias("at"))
-    position = F.row_number().over(_group().orderBy("at.list_no", "at.place"))
-    return (
-        listed.withColumn("position", position).where(F.col("position") <= MARGIN_CANDIDATES)
-        .select(*KEY, "position", F.when(F.col("at.list_no") == 1, "low_margin").otherwise("high_risk").alias("source"),
-                "sales", "margin", "risk_score"))
+    listed = signal_groups(rows).select(
+        *GROUP, "items", F.posexplode(F.slice(_candidates(), 1, MARGIN_CANDIDATES)).alias("at", "candidate"))
+    found = listed.select(*GROUP, (F.col("at") + 1).alias("position"), item_at("candidate.place").alias("row"),
+                          F.when(F.col("candidate.list_no") == 1, "low_margin").otherwise("high_risk").alias("source"))
+    return found.select(*GROUP, "row.name", "position", "source", "row.sales", "row.margin", "row.risk_score")
 
 
 def gem_candidates(rows: DataFrame) -> DataFrame:
     """Margin gems that are neither reserved nor the first margin-risk candidate."""
-    ranked = ranked_signals(rows).withColumn("__place", _margin_place())
-    ranked = ranked.withColumn("__first", F.min("__place").over(_group()))
-    first = F.coalesce(F.col("__place") == F.col("__first"), F.lit(False))
-    gems = ranked.where(F.col("hidden_margin_gems").isNotNull() & (F.col("sales_rank") > RESERVED) & ~first)
-    position = F.row_number().over(_group().orderBy("hidden_margin_gems"))
-    return (
-        gems.withColumn("position", position).where(F.col("position") <= GEM_CANDIDATES)
-        .select(*KEY, "position", "sales", "qty", "margin"))
+    first = F.coalesce(F.get(_candidates(), F.lit(0))["place"], F.lit(0))
+    gems = F.filter("hidden_margin_gems", lambda place: (place > RESERVED) & (place != first))
+    listed = signal_groups(rows).select(*GROUP, "items", F.posexplode(F.slice(gems, 1, GEM_CANDIDATES)).alias("at", "place"))
+    found = listed.select(*GROUP, (F.col("at") + 1).alias("position"), item_at("place").alias("row"))
+    return found.select(*GROUP, "row.name", "position", "row.sales", "row.qty", "row.margin")
 
 
 def margin_action_band(margin, leader: bool) -> Column:
@@ -68,20 +62,26 @@ def contrib_action_band(contrib) -> Column:
     return F.when(c > 20, "over_20").when(c >= 10, "10_to_20").when(c < 10, "under_10")
 
 
+def action_bands(rows: DataFrame) -> DataFrame:
+    """Bands of every row: margin as a leader and as a risk, quantity, and contribution for categories."""
+    product = F.col("dim") == "productName"
+    return scored(rows).select(
+        *KEY, margin_action_band("margin", True).alias("leader_band"), margin_action_band("margin", False).alias("risk_band"),
+        F.when(product, quantity_action_band("qty", True)).otherwise(quantity_action_band("qty")).alias("quantity_band"),
+        F.when(F.col("dim") == "categoryName", contrib_action_band("contrib")).alias("contrib_band"))
+
+
 HEADLINES = ["predict_stockout_risk", "predict_rising_stars", "predict_margin_erosion", "trend_declining", "mix_risk_items"]
 
 
-def headline_signal(rows: DataFrame, previous: DataFrame) -> DataFrame:
+def headline_signal(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
     """The first signal of the priority list that a group has, with its leading row."""
-    found = F.array_compact(F.array(*[
-        F.when(F.col(s) == 1, F.struct(F.lit(i).alias("priority"), F.lit(s).alias("signal")))
-        for i, s in enumerate(HEADLINES, 1)]))
-    listed = ranked_signals(rows, previous).select(
-        *KEY, "sales_change", "qty_change", "margin_shift", "contrib", "margin", F.explode(found).alias("hit"))
-    first = F.row_number().over(_group().orderBy("hit.priority"))
-    return listed.withColumn("__n", first).where("__n = 1").select(
-        *KEY, F.col("hit.priority").alias("priority"), F.col("hit.signal").alias("signal"),
-        "sales_change", "qty_change", "margin_shift", "contrib", "margin")
+    hit = F.coalesce(*[
+        F.when(F.size(s) > 0, F.struct(F.lit(i).alias("priority"), F.lit(s).alias("signal"), item_at(F.get(s, F.lit(0))).alias("row")))
+        for i, s in enumerate(HEADLINES, 1)])
+    fields = ["sales_change", "qty_change", "margin_shift", "contrib", "margin"]
+    found = signal_groups(rows, previous).select(*GROUP, hit.alias("hit")).where("hit is not null")
+    return found.select(*GROUP, "hit.row.name", "hit.priority", "hit.signal", *[f"hit.row.{f}" for f in fields])
 
 
 def concentration_label(rows: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """Risk, trend and prediction signals over the report rows of each store, period and dimension.
 
-A report has at most 100 rows per group, so window functions by group stay small whatever the size of
-the sales table. All windows share one partitioning, hence one shuffle; a single signal keeps only the
-windows it needs, as the optimiser drops the others.
+A report has at most 100 rows per group, so the rows of a group are gathered into one sorted array whatever the size
+of the sales table. Every signal is a filtered and sorted list of places in that array, worked out by higher-order
+functions: one shuffle, no window. ``signal_groups`` holds it all and can be staged; every function here takes it
+in place of report rows.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.clean import rounded
 from basketry.functions.labels import pct_change
@@ -28,78 +29,105 @@ SIGNAL_SIZES = {
 }
 # End of fixed values.
 
-def _group():
-    return Window.partitionBy(*GROUP)
-
-
-
 def _empty_previous(rows: DataFrame) -> DataFrame:
     return rows.select(*KEY, F.lit(0.0).alias("prev_sales"), F.lit(0).cast("bigint").alias("prev_qty"),
                        F.lit(0.0).alias("prev_margin")).where("false")
 
 
+ROW_FIELDS = ["sales", "qty", "margin", "contrib", "prev_sales", "prev_qty", "prev_margin", "sales_change", "qty_change", "margin_shift"]
+UNROUNDED = ["sales_pct", "qty_pct", "margin_points"]
+GROUP_FIGURES = ["group_sales", "avg_margin", "max_margin", "median_contrib"]
+
+
+
+def _gathered(rows: DataFrame, previous: DataFrame | None) -> DataFrame:
+    """One row per group: its figures and ``items``, its rows by sales, each with its rank and risk score."""
+    numbers = with_changes(numeric_report(rows), previous if previous is not None else _empty_previous(rows)).withColumns({
+        "sales_pct": pct_change("sales", "prev_sales"), "qty_pct": pct_change("qty", "prev_qty"),
+        "margin_points": rounded(F.col("margin") - F.col("prev_margin"), 2)})
+    fields = ["name", *ROW_FIELDS, *UNROUNDED]
+    grouped = numbers.groupBy(*GROUP).agg(
+        F.expr(f"sort_array(collect_list(struct(sales is null, -sales, name is null, name, struct({', '.join(fields)}) as row)))").alias("sorted"),
+        F.sum(F.col("sales").cast("decimal(28,4)")).cast("double").alias("group_sales"),
+        F.avg("margin").alias("avg_margin"), F.max("margin").alias("max_margin"),
+        F.percentile("contrib", F.lit(0.5)).alias("median_contrib"))
+    best = F.coalesce(F.col("max_margin"), F.lit(1.0))
+
+    def risk(row: Column) -> Column:
+        weight = F.when(F.col("group_sales") > 0, row["sales"] / F.col("group_sales")).otherwise(0.0)
+        relative = F.when(best > 0, F.coalesce(row["margin"], F.lit(0.0)) / best).otherwise(0.0)
+        return rounded(weight * (1 - relative) * 100)
+
+    item = lambda x, i: x["row"].withField("sales_rank", i + 1).withField("risk_score", risk(x["row"]))
+    return grouped.select(*GROUP, *GROUP_FIGURES, F.transform("sorted", item).alias("items"))
+
+
+# Condition and sort keys of each signal over a row x and the figures of its group. A null condition does not hold.
+_NAME = ["x.name is null", "x.name"]
+SIGNAL_RULES = {
+    "top10_by_revenue": ("true", ["x.sales_rank"]),
+    "bottom5_by_quantity": ("x.qty > 0", ["x.qty", *_NAME]),
+    # least() skips nulls, so an unknown mean has to rule the signal out.
+    "low_margin_items": (
+        f"avg_margin is not null and x.margin < least(avg_margin, {LOW_MARGIN_CEILING})", ["x.margin", *_NAME]),
+    "hidden_margin_gems": ("x.sales_rank > 10", ["x.margin is null", "-x.margin", *_NAME]),
+    "high_risk_items": ("true", ["x.risk_score is null", "-x.risk_score", *_NAME]),
+    "mix_risk_items": ("x.contrib > median_contrib and x.margin < avg_margin", ["x.sales_rank"]),
+    "anomaly_negative_margin": ("x.margin < 0", ["x.sales_rank"]),
+    "anomaly_single_unit": ("x.qty = 1", ["x.sales_rank"]),
+    "trend_declining": (f"x.sales_change < {DECLINE_LIMIT}", ["x.sales_change", "x.sales_rank"]),
+    "trend_margin_shifts": (f"abs(x.margin_points) >= {MARGIN_SHIFT_LIMIT}", ["x.sales_rank"]),
+    "predict_stockout_risk": (
+        f"x.sales_rank <= {TOP_FOR_PREDICTION} and x.prev_qty > 0 and x.qty_pct > {STOCKOUT_GROWTH}",
+        ["-x.qty_change", "x.sales_rank"]),
+    "predict_margin_erosion": (
+        f"x.prev_margin > 0 and x.margin_shift < {EROSION_LIMIT}", ["x.margin_shift", "x.sales_rank"]),
+    "predict_rising_stars": (
+        f"x.sales_rank > {TOP_FOR_PREDICTION} and x.prev_sales > 0 and x.sales_pct > {RISING_GROWTH}",
+        ["-x.sales_change", "x.sales_rank"]),
+}
+
+
+def _places(signal: str) -> Column:
+    """Sales ranks of the rows that have a signal, in its order and cut to its size."""
+    condition, keys = SIGNAL_RULES[signal]
+    held = f"filter(items, x -> coalesce({condition}, false))"
+    places = f"transform(sort_array(transform({held}, x -> struct({', '.join(keys)}, x.sales_rank as place))), x -> x.place)"
+    size = SIGNAL_SIZES[signal]
+    return F.expr(places if size is None else f"slice({places}, 1, {size})")
+
+
+def signal_groups(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
+    """One row per store, period and dimension: ``items``, the rows by sales, group figures, and for each signal an
+    array of the sales ranks of its rows in order. At most 100 rows a group."""
+    if "items" in rows.columns:
+        return rows
+    return _gathered(rows, previous).withColumns({signal: _places(signal) for signal in SIGNAL_SIZES})
+
+
+def item_at(place) -> Column:
+    """The row with a sales rank."""
+    return F.get("items", F.col(place) - 1) if isinstance(place, str) else F.get("items", place - 1)
+
+
 def scored(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
     """Report rows with group figures: sales rank, total, mean and largest margin, median share, risk score."""
-    numbers = with_changes(numeric_report(rows), previous if previous is not None else _empty_previous(rows))
-    by_sales = _group().orderBy(F.col("sales").desc_nulls_last(), F.col("name").asc_nulls_last())
-    grouped = numbers.withColumns({
-        "sales_rank": F.row_number().over(by_sales),
-        "group_sales": F.sum(F.col("sales").cast("decimal(28,4)")).over(_group()).cast("double"),
-        "avg_margin": F.avg("margin").over(_group()), "max_margin": F.max("margin").over(_group()),
-        "median_contrib": F.percentile("contrib", F.lit(0.5)).over(_group())})
-    weight = F.when(F.col("group_sales") > 0, F.col("sales") / F.col("group_sales")).otherwise(0.0)
-    best = F.coalesce(F.col("max_margin"), F.lit(1.0))
-    relative = F.when(best > 0, F.coalesce(F.col("margin"), F.lit(0.0)) / best).otherwise(0.0)
-    return grouped.withColumn("risk_score", rounded(weight * (1 - relative) * 100))
-
-
-def _signal_rules() -> dict[str, tuple[Column, list]]:
-    """Condition and order of each signal."""
-    c, rank, yes = F.col, F.col("sales_rank"), F.lit(True)
-    sales_pct = F.when(c("prev_sales") > 0, pct_change("sales", "prev_sales"))
-    qty_pct = F.when(c("prev_qty") > 0, pct_change("qty", "prev_qty"))
-    name = c("name").asc_nulls_last()
-    return {
-        "top10_by_revenue": (yes, [rank]),
-        "bottom5_by_quantity": (c("qty") > 0, [c("qty"), name]),
-        # least() skips nulls, so an unknown mean has to rule the signal out.
-        "low_margin_items": (
-            c("avg_margin").isNotNull() & (c("margin") < F.least(c("avg_margin"), F.lit(float(LOW_MARGIN_CEILING)))),
-            [c("margin"), name]),
-        "hidden_margin_gems": (rank > 10, [c("margin").desc_nulls_last(), name]),
-        "high_risk_items": (yes, [c("risk_score").desc_nulls_last(), name]),
-        "mix_risk_items": ((c("contrib") > c("median_contrib")) & (c("margin") < c("avg_margin")), [rank]),
-        "anomaly_negative_margin": (c("margin") < 0, [rank]),
-        "anomaly_single_unit": (c("qty") == 1, [rank]),
-        "trend_declining": (c("sales_change") < DECLINE_LIMIT, [c("sales_change"), rank]),
-        "trend_margin_shifts": (
-            F.abs(rounded(c("margin") - c("prev_margin"), 2)) >= MARGIN_SHIFT_LIMIT, [rank]),
-        "predict_stockout_risk": (
-            (rank <= TOP_FOR_PREDICTION) & (qty_pct > STOCKOUT_GROWTH), [c("qty_change").desc(), rank]),
-        "predict_margin_erosion": (
-            (c("prev_margin") > 0) & (c("margin_shift") < EROSION_LIMIT), [c("margin_shift"), rank]),
-        "predict_rising_stars": (
-            (rank > TOP_FOR_PREDICTION) & (sales_pct > RISING_GROWTH), [c("sales_change").desc(), rank]),
-    }
+    return signal_groups(rows, previous).select(*GROUP, *GROUP_FIGURES, F.inline("items")).drop(*UNROUNDED)
 
 
 def ranked_signals(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
     """Scored rows with one position column per signal; null where the row does not have the signal."""
-    positions = {}
-    for signal, (condition, order) in _signal_rules().items():
-        holds = F.coalesce(condition, F.lit(False))
-        place = F.row_number().over(_group().orderBy(F.when(holds, 0).otherwise(1), *order))
-        size = SIGNAL_SIZES[signal]
-        positions[signal] = F.when(holds if size is None else holds & (place <= size), place)
-    return scored(rows, previous).withColumns(positions)
+    found = signal_groups(rows, previous).select(*GROUP, *GROUP_FIGURES, *SIGNAL_SIZES, F.inline("items")).drop(*UNROUNDED)
+    return found.withColumns({
+        s: F.expr(f"nullif(cast(array_position({s}, sales_rank) as int), 0)") for s in SIGNAL_SIZES})
 
 
 def signal(rows: DataFrame, name: str, previous: DataFrame = None) -> DataFrame:
     """Rows that have one signal, with their position."""
-    return (
-        ranked_signals(rows, previous).where(F.col(name).isNotNull())
-        .select(*KEY, F.col(name).alias("position"), "sales", "qty", "margin", "contrib", "sales_change",
-                "qty_change", "margin_shift", "risk_score"))
+    listed = signal_groups(rows, previous).select(*GROUP, "items", F.posexplode(name).alias("at", "place"))
+    fields = ["sales", "qty", "margin", "contrib", "sales_change", "qty_change", "margin_shift", "risk_score"]
+    row = listed.select(*GROUP, (F.col("at") + 1).alias("position"), item_at("place").alias("row"))
+    return row.select(*GROUP, "row.name", "position", *[f"row.{f}" for f in fields])
 
 
 def anomaly_text(rows: DataFrame) -> DataFrame:
@@ -114,13 +142,15 @@ def anomaly_text(rows: DataFrame) -> DataFrame:
 
 
 def _figures() -> list[Column]:
-    """Aggregates of scored rows by group."""
-    total = F.first("group_sales")
-    share = lambda k: F.when(total > 0, rounded(
-        F.sum(F.when(F.col("sales_rank") <= k, F.col("sales"))) / total * 100, 1)).otherwise(0.0)
+    """Mean quantity and margin and revenue concentration of a group."""
+    total = lambda values: f"aggregate({values}, 0D, (a, v) -> a + v)"
+    mean = lambda values: F.expr(f"try_divide({total(values)}, size({values}))")
+    known = lambda array, field: f"filter(transform({array}, x -> x.{field}), v -> v is not null)"
+    sold = "filter(transform(items, x -> x.qty), v -> coalesce(v > 0, false))"
+    share = lambda k: F.when(F.col("group_sales") > 0, rounded(
+        F.expr(f"{total(known(f'slice(items, 1, {k})', 'sales'))} / group_sales * 100"), 1)).otherwise(0.0)
     return [
-        rounded(F.avg(F.when(F.col("qty") > 0, F.col("qty"))), 1).alias("avg_qty_sold"),
-        rounded(F.avg("margin")).alias("avg_margin_pct"),
+        rounded(mean(sold), 1).alias("avg_qty_sold"), rounded(mean(known("items", "margin"))).alias("avg_margin_pct"),
         share(1).alias("top1_revenue_share_pct"), share(3).alias("top3_revenue_share_pct")]
 
 
@@ -130,7 +160,7 @@ def _concentration(figures: DataFrame) -> DataFrame:
 
 def group_figures(rows: DataFrame) -> DataFrame:
     """One row per store, period and dimension: mean quantity and margin, revenue concentration."""
-    return _concentration(scored(rows).groupBy(*GROUP).agg(*_figures()))
+    return _concentration(signal_groups(rows).select(*GROUP, *_figures()))
 
 
 def intelligence_summary(rows: DataFrame, previous: DataFrame = None) -> DataFrame:
@@ -139,10 +169,7 @@ def intelligence_summary(rows: DataFrame, previous: DataFrame = None) -> DataFra
     Each list holds report rows of one group, so it has at most 100 entries.
     """
     fields = ["name", "sales", "qty", "margin", "contrib", "sales_change", "qty_change", "margin_shift", "risk_score"]
-    ranked = ranked_signals(rows, previous)
-    lists = [
-        F.to_json(F.sort_array(F.collect_list(F.when(
-            F.col(s).isNotNull(), F.struct(F.col(s).alias("position"), *fields))))).alias(s)
-        for s in SIGNAL_SIZES]
-    trend = F.max(F.col("prev_sales").isNotNull()).alias("has_matched_trend")
-    return _concentration(ranked.groupBy(*GROUP).agg(*lists, trend, *_figures()))
+    row = ", ".join(f"items[place - 1].{f} as {f}" for f in fields)
+    lists = [F.expr(f"to_json(transform({s}, (place, i) -> struct(i + 1 as position, {row})))").alias(s) for s in SIGNAL_SIZES]
+    trend = F.exists("items", lambda x: x["prev_sales"].isNotNull()).alias("has_matched_trend")
+    return _concentration(signal_groups(rows, previous).select(*GROUP, *lists, trend, *_figures()))

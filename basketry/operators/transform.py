@@ -25,10 +25,14 @@ def _typed(column: str) -> Column:
     return clean.clean_string(column)
 
 
+def sales_columns(df: DataFrame) -> list[Column]:
+    """The columns of the sales fact, typed from the text columns that there are."""
+    return [(_typed(c) if c in df.columns else F.lit(None)).cast(sales_type(c)).alias(c) for c in SALES_COLUMNS]
+
+
 def transform_sales(df: DataFrame) -> DataFrame:
     """Text columns to the typed sales fact in one projection; unknown columns are dropped."""
-    return df.select(*[
-        (_typed(c) if c in df.columns else F.lit(None)).cast(sales_type(c)).alias(c) for c in SALES_COLUMNS])
+    return df.select(*sales_columns(df))
 
 
 def conform_schema(df: DataFrame) -> DataFrame:
@@ -69,17 +73,20 @@ def resolve_rule_table(rules: DataFrame) -> DataFrame:
     return solved.groupBy("old").agg(F.min_by("new", "seq").alias("new"))
 
 
+def rename_lookup(spark, rules) -> DataFrame:
+    """(old, new) of the names that change, from a list of (old, new) or a DataFrame (seq, old, new) of any size."""
+    if isinstance(rules, DataFrame):
+        return resolve_rule_table(rules).where("old <> new")
+    changed = [(old, new) for old, new in resolve_rules(rules).items() if old != new]
+    return spark.createDataFrame(changed, "old string, new string")
+
+
 def rename_values(df: DataFrame, column: str, rules) -> DataFrame:
     """Exact-match renames. ``rules`` is a list of (old, new) or a DataFrame (seq, old, new) of any size.
 
     Chains are resolved once on the rules, not on the data; the optimiser picks the join by the size of the result.
     """
-    if isinstance(rules, DataFrame):
-        found = resolve_rule_table(rules).where("old <> new")
-    else:
-        changed = [(old, new) for old, new in resolve_rules(rules).items() if old != new]
-        found = df.sparkSession.createDataFrame(changed, "old string, new string")
-    lookup = found.select(F.col("old").alias(column), F.col("new").alias("__new"))
+    lookup = rename_lookup(df.sparkSession, rules).select(F.col("old").alias(column), F.col("new").alias("__new"))
     return (
         df.join(lookup, column, "left")
         .withColumn(column, F.coalesce("__new", column)).select(*df.columns))

@@ -52,15 +52,20 @@ def _any_rule(df: DataFrame) -> Column:
     return failed
 
 
-def validation_report(df: DataFrame) -> DataFrame:
-    """One row: total, dropped and remaining rows and the flagged count of each rule."""
+def validation_metrics(df: DataFrame) -> list[Column]:
+    """Total, dropped and remaining rows and the flagged count of each rule, as aggregates."""
     rules = active_rules(df)
     bad = _any_rule(df)
-    return df.agg(
+    return [
         F.count("*").alias("total_rows"),
         F.count_if(bad).alias("dropped_rows"),
         F.count_if(~bad).alias("remaining_rows"),
-        *[F.count_if(rule).alias(name) for name, rule in rules.items()])
+        *[F.count_if(rule).alias(name) for name, rule in rules.items()]]
+
+
+def validation_report(df: DataFrame) -> DataFrame:
+    """One row: total, dropped and remaining rows and the flagged count of each rule."""
+    return df.agg(*validation_metrics(df))
 
 
 def validation_samples(df: DataFrame, n: int = 5) -> DataFrame:
@@ -78,10 +83,14 @@ def drop_invalid(df: DataFrame) -> DataFrame:
     return df.where(~_any_rule(df))
 
 
+def failed_rules(df: DataFrame) -> Column:
+    """Names of the rules that a row fails."""
+    return F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in active_rules(df).items()]))
+
+
 def quarantine(df: DataFrame) -> DataFrame:
     """Rows that fail a rule, with the names of the failed rules."""
-    names = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in active_rules(df).items()]))
-    return df.where(_any_rule(df)).withColumn("failed_rules", names)
+    return df.where(_any_rule(df)).withColumn("failed_rules", failed_rules(df))
 
 
 def guard_not_empty(df: DataFrame, what: str = "sales") -> DataFrame:
@@ -132,22 +141,31 @@ def assert_store_absent(df: DataFrame, column: str, store: str) -> DataFrame:
     return df
 
 
+def profile_metrics(columns, of=F.col, keep: Column = None) -> list[Column]:
+    """Row count, dated and timed rows, and the null count of every column, of the rows to keep, as aggregates."""
+    keep = F.lit(True) if keep is None else keep
+    return [
+        F.count_if(keep).alias("total_rows"), F.count_if(keep & of("orderDate").isNotNull()).alias("order_date_not_null"),
+        F.count_if(keep & of("time").isNotNull()).alias("time_not_null"),
+        *[F.count_if(keep & of(c).isNull()).alias(f"null_{c}") for c in columns]]
+
+
 def load_profile(df: DataFrame) -> DataFrame:
     """One row: row count, dated and timed rows, and the null count of every column."""
-    return df.agg(
-        F.count("*").alias("total_rows"), F.count("orderDate").alias("order_date_not_null"),
-        F.count("time").alias("time_not_null"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns])
+    return df.agg(*profile_metrics(df.columns))
 
 
-def date_format_profile(df: DataFrame, c: str = "orderDate") -> DataFrame:
-    """How many values each date pattern parses by itself, and how many parse at all."""
+def date_format_metrics(c: str = "orderDate") -> list[Column]:
     counts = [
         F.count_if(F.when(F.col(c).rlike(shape), F.try_to_date(F.col(c), pattern)).isNotNull())
         .alias("fmt_" + pattern.replace("-", "_dash_").replace("/", "_slash_"))
         for shape, patterns in DATE_SHAPES for pattern in patterns]
-    return df.agg(
-        F.count(c).alias("not_null"), *counts, F.count(parse_order_date(c)).alias("parsed"))
+    return [F.count(c).alias("not_null"), *counts, F.count(parse_order_date(c)).alias("parsed")]
+
+
+def date_format_profile(df: DataFrame, c: str = "orderDate") -> DataFrame:
+    """How many values each date pattern parses by itself, and how many parse at all."""
+    return df.agg(*date_format_metrics(c))
 
 
 def date_format_samples(df: DataFrame, c: str = "orderDate", n: int = 10) -> DataFrame:

@@ -25,21 +25,28 @@ def _run(spark: SparkSession, root: str, kind: str, period_col: str, lines: Data
     rows = stage(sr.dimension_reports(lines))
     stored = _stored_rows(spark, root, kind, period_col)
     previous = None if stored is None else stage(shift(stored))
-    ranked = stage(signals.ranked_signals(rows, previous))
-    report = rows.withColumnRenamed("period_start", period_col)
+    groups = stage(signals.signal_groups(rows, previous))
+    report = rows
     if stock is None:
         report = report.withColumn("current_stock", F.lit(None).cast("double"))
     else:
         report = report.join(sr.stock_lookup(stock), ["storeName", "dim", "name"], "left")
     tables = {
         "report": report,
-        "financials": financials.withColumnRenamed("period_start", period_col),
-        "signals": ranked.withColumnRenamed("period_start", period_col),
-        "figures": signals.group_figures(rows).withColumnRenamed("period_start", period_col),
-        "margin_risk": recommend.margin_risk_candidates(rows).withColumnRenamed("period_start", period_col),
+        "financials": financials,
+        "signals": signals.ranked_signals(groups),
+        "figures": signals.group_figures(groups),
+        "summary": signals.intelligence_summary(groups),
+        "anomalies": signals.anomaly_text(groups),
+        "reserved": recommend.reserved_top2(groups),
+        "margin_risk": recommend.margin_risk_candidates(groups),
+        "gems": recommend.gem_candidates(groups),
+        "bands": recommend.action_bands(groups),
+        "concentration": recommend.concentration_label(groups),
     }
     if previous is not None:
-        tables["headline"] = recommend.headline_signal(rows, previous).withColumnRenamed("period_start", period_col)
+        tables["headline"] = recommend.headline_signal(groups)
+    tables = {name: table.withColumnRenamed("period_start", period_col) for name, table in tables.items()}
     for name, table in tables.items():
         overwrite_dates(table, f"{root}/{kind}_{name}", period_col)
     comparison.write.mode("overwrite").parquet(f"{root}/{kind}_comparison")

@@ -5,7 +5,9 @@ moves them folder by folder. A run that fails before its commit changes nothing;
 leaves some days old and some new, and the same load again completes it.
 """
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.operators.aggregates import dates_in_load
 from basketry.operators.staging import stage
@@ -22,9 +24,13 @@ def overwrite_dates(df: DataFrame, path: str, date_col: str = "orderDate") -> No
      .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
 
 
-def load_fingerprint(df: DataFrame) -> str:
-    """A key of the rows themselves, the same for the same rows in any order."""
-    found = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("digest")).first()
+def fingerprint_metrics(columns) -> list[Column]:
+    """Aggregates behind ``load_fingerprint``."""
+    return [F.count("*").alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("digest")]
+
+
+def load_fingerprint(found) -> str:
+    """A key of the rows themselves, the same for the same rows in any order, from their ``fingerprint_metrics``."""
     return f"load_{found['n']}_{found['digest'] or 0}"
 
 
@@ -52,6 +58,21 @@ def table_exists(spark, path: str) -> bool:
     return files.exists(location)
 
 
+def partition_dates(spark, path: str, date_col: str) -> list[dt.date]:
+    """Dates of a stored table in order, from the names of its folders; no file is opened."""
+    files, location = _existing(spark, path)
+    found = [str(f.getPath().getName()) for f in files.listStatus(location) if f.isDirectory()] if files.exists(location) else []
+    values = [name.split("=", 1)[1] for name in found if name.startswith(f"{date_col}=")]
+    return sorted(dt.date.fromisoformat(v) for v in values if not v.startswith("__"))
+
+
+def read_dates(spark, path: str, date_col: str, dates) -> DataFrame:
+    """Rows of some dates of a stored table; only their folders are listed and opened."""
+    root = path.rstrip("/")
+    folders = [f"{root}/{date_col}={day.isoformat()}" for day in dates]
+    return spark.read.option("basePath", root).parquet(*folders).withColumn(date_col, F.col(date_col).cast("date"))
+
+
 def clear_partitions(spark, path: str, column: str, values: DataFrame) -> int:
     """Drop the partitions of the given values; returns how many were there.
 

@@ -187,6 +187,64 @@ def test_daily_load_end_to_end(spark, sf_dir, tmp_path):
     assert reports["stores"].where("storename = 'Head Office'").count() == 0
 
 
+def test_the_load_reads_the_raw_text_once(spark, sf_dir, tmp_path):
+    raw, read = star.raw_sales(spark, sf_dir).limit(3000), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    raw.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    daily_load.load_sales(spark, raw.mapInArrow(counted, raw.schema), str(tmp_path))
+    assert read.value == 3000
+    stored = lambda name: spark.read.parquet(f"{tmp_path}/{name}").drop("load_id").first().asDict()
+    assert stored("load_validation") == validate.validation_report(raw).first().asDict()
+    assert stored("load_date_formats") == validate.date_format_profile(raw).first().asDict()
+    assert stored("load_profile") == validate.load_profile(transform.transform_sales(validate.drop_invalid(raw))).first().asDict()
+
+
+def test_dashboard_opens_only_the_days_it_compares(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    daily_load.load_sales(spark, star.raw_sales(spark, sf_dir), root)
+    before = {n: sorted(map(str, df.collect())) for n, df in dashboard.daily_dashboard(spark, root).items()}
+    assert before["brands"] and before["products"]
+    for name in dashboard.TABLES:
+        days = sorted((tmp_path / name).glob("orderdate=*"))
+        assert len(days) > 12
+        for day in days[:-9]:
+            for file in day.glob("*.parquet"):
+                file.write_bytes(b"not to be read")
+    spark.catalog.clearCache()
+    assert {n: sorted(map(str, df.collect())) for n, df in dashboard.daily_dashboard(spark, root).items()} == before
+
+
+def test_stored_renames_rewrite_only_the_days_that_change(spark, sf_dir, tmp_path):
+    from basketry.plans.rename_stored import rename_stored
+
+    root = str(tmp_path)
+    daily_load.load_sales(spark, star.raw_sales(spark, sf_dir), root)
+    facts = lambda: spark.read.parquet(f"{root}/billing_data")
+    old, n = facts().where("productName is not null").groupBy("productName").count().orderBy("count", "productName").first()
+    files_of = lambda name: {p: p.stat().st_mtime_ns for p in (tmp_path / name).rglob("*.parquet")}
+    before = {t: files_of(t) for t in ("billing_data", "product_sales")}
+    total = facts().count()
+    days = {r[0] for r in facts().where(F.col("productName") == old).select("orderDate").distinct().collect()}
+    changed = rename_stored(spark, root, [(old, "between"), ("between", "new name")]).collect()
+    assert {r["orderDate"] for r in changed} == days and sum(r["renamed_rows"] for r in changed) == n
+    spark.catalog.clearCache()
+    assert facts().count() == total and facts().where(F.col("productName") == "new name").count() == n
+    assert facts().where(F.col("productName") == old).count() == 0
+    products = spark.read.parquet(f"{root}/product_sales")
+    assert {r[0] for r in products.where("productname = 'new name'").select("orderdate").collect()} == days
+    assert products.where(F.col("productname") == old).count() == 0
+    for table, found in before.items():
+        kept = {p: t for p, t in found.items() if p.parent.name.split("=")[1] not in {str(d) for d in days}}
+        assert len(kept) > 0 and kept.items() <= files_of(table).items()
+    assert rename_stored(spark, root, [(old, "new name")]).count() == 0
+
+
 def test_loads_keep_the_undated_rows_of_others(spark, tmp_path):
     fields = "invoice string, orderDate string, quantity string, totalProductPrice string, storeName string, brandName string, subCategoryOf string, productName string, productId string, orderType string"
     load = lambda n: spark.createDataFrame([(f"{n}{i}", day, "1", "2.5", "S", "b", "c", "p", "7", "online") for i, day in enumerate(("2024-01-0" + n, "soon", ""))], fields)
@@ -250,6 +308,8 @@ def test_weekly_job_uses_earlier_snapshots(spark, sf_dir, tmp_path):
     assert found.where("sales_change is not null").count() > 0
     assert spark.read.parquet(f"{root}/weekly_brand_snapshot").select("week_start").distinct().count() >= 2
     assert spark.read.parquet(f"{root}/weekly_report").where("current_stock is not null").count() > 0
+    for name in ("summary", "gems", "reserved", "bands", "concentration", "margin_risk", "headline", "anomalies"):
+        assert spark.read.parquet(f"{root}/weekly_{name}").count() > 0, name
 
 
 def test_same_totals_by_brand_and_store(spark, sf_dir):
