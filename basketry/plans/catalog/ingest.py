@@ -384,11 +384,16 @@ query("standardise_columns", _standardise, with_(BILLING) + """select row_number
  from billing group by "productName\"""")
 
 
-def _rename_products(spark, d):
+def product_rules(spark, d):
+    """Two rules a product, the second on the result of the first."""
     names = star.table(spark, d, "part").select("p_name").distinct()
     step = lambda seq, a, b: names.select(
         F.lit(seq).alias("step"), F.concat("p_name", F.lit(a)).alias("old"), F.concat("p_name", F.lit(b)).alias("new"))
-    rules = add_serial(step(1, " 1ml", " 2ml").unionByName(step(2, " 2ml", " 3ml")), ["step", "old"], name="seq")
+    return add_serial(step(1, " 1ml", " 2ml").unionByName(step(2, " 2ml", " 3ml")), ["step", "old"], name="seq")
+
+
+def _rename_products(spark, d):
+    rules = product_rules(spark, d)
     lines = star.billing(spark, d, ["productName", "totalProductPrice"]).withColumnRenamed("productName", "productname")
     return transform.rename_products(lines, rules).groupBy("productname").agg(
         F.count("*").alias("n"), F.sum("totalProductPrice").alias("sales"))
