@@ -42,4 +42,4 @@ def _renamed(spark, d):
 
 query("rename_stored", _renamed, with_(RAW, _GOOD, _USED) + r"""select regexp_replace("productName", ' [12]ml$', ' 3ml') as productname,
  count(distinct invoice) as nooforders, cast(sum("totalProductPrice") as double) as sales, sum(quantity) as quantitysold,
- "orderDate" as orderdate from used group by 1, "orderDate\"""")
+ "orderDate" as orderdate from used group by 1, "orderDate" """)

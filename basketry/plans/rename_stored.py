@@ -13,8 +13,8 @@ def rename_stored(spark: SparkSession, root: str, rules, column: str = "productN
 
     ``rules`` is a list of (old, new) or a table (seq, old, new); chains are resolved on the rules. One pass over two
     columns of the fact finds the days that hold an old name; only their folders are read and rewritten, all other
-    files stay. Returns (orderDate, renamed_rows) of the changed days. The same renames again change nothing; a run
-    that fails half-way is completed by running it again when the aggregates are behind: see ``refresh_days``.
+    files stay. Returns (orderDate, renamed_rows) of the changed days. The same renames again change nothing. After
+    a run that stopped between the fact table and the aggregates, ``refresh_days`` completes it.
     """
     root = root.rstrip("/")
     path = f"{root}/billing_data"
