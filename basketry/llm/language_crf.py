@@ -18,6 +18,8 @@ from basketry.llm.common import map_batches
 UNDETERMINED = "und"
 TRAIN_ROWS_PER_LANGUAGE = 1500
 TRAIN_CHARS = 500
+SAMPLE_PARTS = 15
+SAMPLE_CHUNKS = 64
 FEATURE_BITS = 17
 SEQUENCE = 48
 ROUNDS = 50
@@ -82,12 +84,12 @@ def sums_by(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def forward_backward(psi: np.ndarray, step: np.ndarray):
     """For equally long sequences, psi (n, t, labels): label probabilities (n, t, labels) and the expected
-    transitions (labels, labels) of all. ``step`` holds the transition potentials."""
+    transitions (labels, labels) of all. ``step`` holds the transition potentials; every first label is alike."""
     n, length, k = psi.shape
     alpha, beta = np.empty_like(psi), np.ones_like(psi)
-    at = np.full((n, k), 1 / k)
+    at = np.ones((n, k))
     for t in range(length):
-        at = (at @ step) * psi[:, t]
+        at = (at @ step if t else at) * psi[:, t]
         at /= at.sum(1, keepdims=True)
         alpha[:, t] = at
     pairs, back = np.zeros((k, k)), np.ones((n, k))
@@ -170,13 +172,22 @@ def fit(texts: list, labels: list, rounds: int = ROUNDS, seed: int = 7) -> Langu
 def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str,
                   per_language: int = TRAIN_ROWS_PER_LANGUAGE, chars: int = TRAIN_CHARS) -> DataFrame:
     """(text, label): a piece of at most ``chars`` characters, from anywhere in the text, of at most
-    ``per_language`` rows with each label, whose crc32(id as text) mod 4 is not 2."""
+    ``per_language`` rows with each label, whose crc32(id as text) mod 4 is not 2.
+
+    A label's rows are dealt to parts by hash, each with an equal share of ``per_language``. The rows of a part are
+    first cut to that share in chunks of input partitions, so that no task sorts more of a frequent label than the
+    share of each chunk. Which rows are taken depends on ids and texts alone.
+    """
     text, order = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{id_col}`"))
+    parts = max(1, min(SAMPLE_PARTS, per_language))
     rows = docs.where(F.col(f"`{label_col}`").isNotNull() & text.isNotNull() & ~held_out(id_col)).select(
         F.col(f"`{label_col}`").cast("string").alias("label"), order.alias("order"), F.col(f"`{id_col}`").alias("id"),
+        F.pmod(F.xxhash64(order, text), F.lit(parts)).alias("part"), (F.spark_partition_id() % SAMPLE_CHUNKS).alias("chunk"),
         F.substring(text, (F.pmod(order, F.greatest(F.length(text) - chars, F.lit(1))) + 1).cast("int"), F.lit(chars)).alias("text"))
-    number = F.row_number().over(Window.partitionBy("label").orderBy("order", "id", "text"))
-    return rows.withColumn("number", number).where(f"number <= {per_language}").select("text", "label")
+    for keys in (["label", "part", "chunk"], ["label", "part"]):
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy("order", "id", "text"))
+        rows = rows.withColumn("number", number).where(f"number <= {per_language // parts}").drop("number")
+    return rows.select("text", "label")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -255,7 +266,10 @@ def lane_means(psi: np.ndarray, sizes: np.ndarray, step: np.ndarray, lane: int =
             m = here[t]
             if not m:
                 break
-            product[:m] = (product[:m].reshape(-1, k) @ step).reshape(m, k, k) * psi[start[many[:m]] + t][:, None, :]
+            moved = (product[:m].reshape(-1, k) @ step).reshape(m, k, k)
+            if t == 0:
+                moved[inner[many[:m]] == 0] = 1
+            product[:m] = moved * psi[start[many[:m]] + t][:, None, :]
             if t % 8 == 7:
                 product[:m] /= product[:m].max((1, 2), keepdims=True)
         product /= product.max((1, 2), keepdims=True)
@@ -278,7 +292,10 @@ def lane_means(psi: np.ndarray, sizes: np.ndarray, step: np.ndarray, lane: int =
         m = active[t]
         if not m:
             break
-        at = (at[:m] @ step) * psi[start[:m] + t]
+        moved = at[:m] @ step
+        if t == 0:
+            moved[inner[:m] == 0] = 1
+        at = moved * psi[start[:m] + t]
         at /= at.sum(1, keepdims=True)
         alpha[start[:m] + t] = at
     sums, back = np.zeros((len(owner), k)), leave.copy()

@@ -1,6 +1,7 @@
 """The operators on whole texts beside plain brute force, on awkward rows."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -253,6 +254,43 @@ def test_lanes_give_the_plain_forward_backward():
         at += n
 
 
+def test_forward_backward_against_all_label_sequences():
+    """Label probabilities and transitions are sums over every label sequence, and the slopes of the log of their total."""
+    rng = np.random.default_rng(2)
+    score, move = rng.normal(size=(4, 3)), rng.normal(size=(3, 3))
+
+    def total(score, move):
+        return np.log(sum(np.exp(sum(score[t, y] for t, y in enumerate(s)) + sum(move[a, b] for a, b in zip(s, s[1:])))
+                          for s in itertools.product(range(3), repeat=4)))
+
+    gamma, pairs = language_crf.forward_backward(np.exp(score)[None], np.exp(move))
+    weight = {s: np.exp(sum(score[t, y] for t, y in enumerate(s)) + sum(move[a, b] for a, b in zip(s, s[1:])) - total(score, move))
+              for s in itertools.product(range(3), repeat=4)}
+    for t, y in np.ndindex(4, 3):
+        nudge = np.zeros((4, 3))
+        nudge[t, y] = 1e-5
+        assert np.isclose(gamma[0, t, y], sum(w for s, w in weight.items() if s[t] == y))
+        assert np.isclose(gamma[0, t, y], (total(score + nudge, move) - total(score - nudge, move)) / 2e-5, atol=1e-7)
+    for a, b in np.ndindex(3, 3):
+        nudge = np.zeros((3, 3))
+        nudge[a, b] = 1e-5
+        assert np.isclose(pairs[a, b], (total(score, move + nudge) - total(score, move - nudge)) / 2e-5, atol=1e-7)
+
+
+def test_training_rows_of_a_frequent_label(spark, make_docs):
+    """Each language gets at most its share of rows; parts are cut on the map side, before any shuffle."""
+    rows = [(i, f"text {i} " * 3, "en" if i % 3 else "de") for i in range(3000)] + [(1, "same", "fr")] * 90 + [(5, None, "es"), (None, "x", "it")]
+    docs = make_docs(rows).repartition(6)
+    sample = language_crf.training_rows(docs, "doc_id", "text", "lang", per_language=60)
+    counts = Counter(r["label"] for r in sample.collect())
+    assert counts["en"] == counts["de"] == 60 and 0 < counts["fr"] <= 60 and set(counts) == {"en", "de", "fr"}
+    again = language_crf.training_rows(docs.repartition(3), "doc_id", "text", "lang", per_language=60)
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, sample.collect()))
+    assert sample._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("WindowGroupLimit") == 4
+    few = language_crf.training_rows(docs, "doc_id", "text", "lang", per_language=2).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in few} == {"en": 2, "de": 2, "fr": 1}
+
+
 def test_empty_tables(make_docs, spark):
     docs = make_docs([])
     items = spark.createDataFrame([], "item_id long, text string")
