@@ -107,6 +107,27 @@ def test_cover_tree(spark, per_block):
     assert cover_tree.near_duplicate_vectors(vectors.where("false")).count() == 0
 
 
+def test_few_pairs_of_cells_are_opened(spark):
+    """On clustered vectors less than a fifth of the pairs of cells is opened, and no link lies in a closed pair."""
+    rng = np.random.default_rng(6)
+    heads = rng.normal(size=(32, 12))
+    x = heads[np.arange(1600) % 32] + rng.normal(scale=0.03, size=(1600, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = [2 if i % 8 == 0 else 1 for i in range(1600)]
+    vectors = spark.createDataFrame([(i, label[i], v.tolist()) for i, v in enumerate(x)], "row long, label int, vec array<double>").repartition(5)
+    cells, centres = cover_tree.vector_cells(vectors, per_block=50)
+    opened = cover_tree.open_cells(cells, centres)
+    rows = {r["row"]: (r["level"], r["cell"]) for r in cells.collect()}
+    assert len(rows) == 1600 and {(label[i], level) for i, (level, _) in rows.items()} == {(1, 5), (2, 2)} and len(centres) == 32
+    assert sum(map(len, opened[5])) < 0.2 * 32 * 32
+    near = [(i, j) for i, j in np.argwhere(x @ x.T >= 0.98).tolist() if label[i] == label[j]]
+    assert all(rows[j][1] in opened[rows[i][0]][rows[i][1]] for i, j in near)
+    counts = Counter(i for i, j in near if i != j)
+    table = vectors.select(F.col("row").alias("vec_id"), "label", F.col("vec").alias("embedding"))
+    got = cover_tree.near_duplicate_vectors(table, per_block=50).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == {i: counts[i] for i in range(1600)}
+
+
 def test_components_of_a_long_path_and_a_hub(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
