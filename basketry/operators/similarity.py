@@ -205,23 +205,36 @@ def _spanning_edges(batches):
         yield pd.DataFrame(kept, columns=["u", "v"], dtype=object)
 
 
+# Shares into which the neighbours of a node are dealt.
+NEIGHBOUR_SHARES = 64
+
+
+def with_least_neighbour(links: DataFrame) -> DataFrame:
+    """``links`` (u, v) with the least v of each u as ``m``, and the ``share`` of u in which v lies.
+
+    A minimum is taken in each share, then over at most NEIGHBOUR_SHARES shares of a node, and joined back by node and
+    share. So a hub of a large component is spread over tasks, and none reads more than its shares.
+    """
+    dealt = links.withColumn("share", F.pmod(F.xxhash64("v"), F.lit(NEIGHBOUR_SHARES)).cast("int"))
+    shares = dealt.groupBy("u", "share").agg(F.min("v").alias("m"))
+    return dealt.join(shares.withColumn("m", F.min("m").over(Window.partitionBy("u"))), ["u", "share"])
+
+
 def connected_components(pairs: DataFrame) -> DataFrame:
     """(node, root) for every node of the pair graph; the root is the smallest node of its component.
 
     Each partition first reduces its pairs to a spanning forest, so only a few edges per node are
     shuffled. Then large-star and small-star rounds (Kiveris et al., 2014) link every node to the
-    smallest one; each round is a grouped minimum and a join, and is checkpointed.
+    smallest one; each round is a grouped minimum and a join, both spread over a hub's shares, and is checkpointed.
     """
     forest = pairs.select("vec_a", "vec_b").mapInPandas(_spanning_edges, "u string, v string")
     edges = stage(forest.distinct())
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = with_least_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        lowest = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(lowest, "u")
+        joined = with_least_neighbour(down)
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = stage(small)

@@ -149,6 +149,20 @@ def test_long_chain_is_one_component(spark):
     assert len(got) == 300 and {r["root"] for r in got} == {"0000"}
 
 
+def test_hub_of_a_large_component_is_spread(spark):
+    """A hub with most of 100,000 nodes and a path that ends in it: one component, and no key with over a 32nd of the links."""
+    name = lambda c: F.format_string("%06d", c)
+    star = spark.range(100_000).where("id <> 50000").select(name(F.lit(50000)).alias("x"), name(F.col("id")).alias("y"))
+    path = spark.range(100_000, 100_040).select(name(F.col("id") - 1).alias("x"), name(F.col("id")).alias("y"))
+    pairs = star.unionByName(path).select(F.least("x", "y").alias("vec_a"), F.greatest("x", "y").alias("vec_b")).repartition(6)
+    links = pairs.select(F.col("vec_a").alias("u"), F.col("vec_b").alias("v"))
+    spread = similarity.with_least_neighbour(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    assert spread.groupBy("u", "share").count().agg(F.max("count")).first()[0] < 100_000 / 32
+    assert spread.where("u = '050000'").agg(F.min("m"), F.max("m"), F.count("*")).first() == ("000000", "000000", 99_999)
+    found = similarity.connected_components(pairs).agg(F.count("*"), F.count_distinct("node"), F.min("root"), F.max("root")).first()
+    assert found == (100_040, 100_040, "000000", "000000")
+
+
 def test_consolidation_keeps_totals(spark):
     sales = spark.createDataFrame([("a", 5.0, 1), ("b", 7.0, 2), ("x", 1.5, 3)], "productname string, sales double, quantitysold int")
     mapping = spark.createDataFrame([("a", "b"), ("b", "b")], "productName string, representative string")
