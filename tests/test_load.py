@@ -1,7 +1,10 @@
 """Validation, typing, files, sinks and the daily load."""
 
 import base64
+import contextlib
 import datetime as dt
+import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -271,6 +274,56 @@ def test_wide_downloads_and_quoted_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in files.read_store_csv_dir(spark, str(stores), ["productName", "quantity"], ["quantity"]).collect()] == [("A", "P", 2.0)]
 
 
+def test_downloads_are_read_in_short_lines(spark, tmp_path):
+    """Bodies that begin like base64 and are not, that end with the letter that cuts them, wrapped, compressed; and no body
+    of some size is one value for a task."""
+    letters = "".join(chr(97 + i % 26) for i in range(80_000))
+    note = 'say ""x"",\r\n\nand é'
+    body = "\ufeffinvoice,note\n" + "".join(f'I{i},"{note}{i}"\n' for i in range(40_000)) + "end,"
+    pack = lambda text: base64.b64encode(text.encode()).decode()
+    downloads = {
+        "plain.csv": body.encode(), "packed.csv": pack(body).encode(), "wrapped.csv": base64.encodebytes(body.encode()), "short.csv": pack("invoice\nA\n").encode(),
+        "letters.csv": f"invoice{letters}\nI,1\n".encode(), "name.csv": b"invoice\nABCD\n-\n", "lost.csv": pack("invoice\nA\n").encode() + b"A",
+        "zipped.csv.gz": gzip.compress(pack(body).encode()), "open.csv": b'invoice,note\nI,"open\n', "empty.csv": b"", "blank.csv": b" \n\n"}
+    for name, data in downloads.items():
+        (tmp_path / name).write_bytes(data)
+    want = [("I%d" % i, 'say "x",\r\n\nand é%d' % i) for i in range(40_000)] + [("end", None)]
+    scanned, read_text = [], type(spark.read).text
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "text", lambda self, *a, **k: scanned.append(read_text(self, *a, **k)) or scanned[-1])
+        for most in ("128m", "100k"):  # files in one part, and in several where a session insists on it
+            if most == "100k":
+                patch.setattr(files, "_whole_files", lambda *a: contextlib.nullcontext(False))
+                spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            try:
+                got = files.decode_report_payloads(spark, str(tmp_path), ["invoice", "note", f"invoice{letters}"]).collect()
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            of = lambda name: sorted(tuple(r)[1:] for r in got if r["source_file"] == name)
+            for name in ("plain.csv", "packed.csv", "wrapped.csv", "zipped.csv.gz"):
+                assert of(name) == sorted((a, b, None) for a, b in want), name
+            assert of("short.csv") == [("A", None, None)] and of("letters.csv") == [(None, None, "I")]
+            assert of("name.csv") == [("-", None, None), ("ABCD", None, None)] and of("open.csv") == [("I", "open\n", None)]
+            assert not of("lost.csv") and not of("empty.csv") and not of("blank.csv")
+    lines = [df for df in scanned if not any(f.endswith((".gz", "empty.csv")) for f in df.inputFiles())]
+    assert lines and max(df.agg(F.max(F.octet_length("value"))).first()[0] for df in lines) <= 80_100
+
+
+def test_records_do_not_depend_on_how_a_body_is_cut():
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice('ab,"\r\n é') for _ in range(rng.randrange(60)))
+        for packed in (False, True):
+            data = base64.b64encode(text.encode()) if packed else text.encode()
+            whole = files.CsvRecords(packed).feed(data, last=True)
+            size, cut, found = rng.randrange(1, 7), files.CsvRecords(packed), []
+            for at in range(0, len(data), size):
+                found += cut.feed(data[at:at + size])
+            assert found + cut.feed(b"", last=True) == whole
+    cut = files.CsvRecords(False)
+    assert sum(len(cut.feed(b'a,"b\n""c",d\n' * 1000)) for _ in range(50)) >= 49_999 and len(cut.left) < 20
+
+
 def test_rule_tables_give_the_names_of_rule_lists(spark):
     rules = [("a", "b"), ("b", "c"), ("x", "a"), ("c", "d"), ("d", "a"), ("a", "e"), ("k", "k"), ("b", "z")]
     rules += [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("n40", "n0")]
