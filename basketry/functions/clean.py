@@ -22,6 +22,23 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def reading_name(pattern: str) -> str:
+    return pattern.replace("-", "_dash_").replace("/", "_slash_")
+
+
+def date_readings(c) -> Column:
+    """A struct of the dates that each pattern reads in a text by itself, null where it reads none."""
+    c = _col(c)
+    return F.struct(*[
+        F.when(c.rlike(shape), F.try_to_date(c, pattern)).alias(reading_name(pattern))
+        for shape, patterns in DATE_SHAPES for pattern in patterns])
+
+
+def first_reading(dates: Column) -> Column:
+    """The date of a text from its ``date_readings``."""
+    return F.coalesce(*[dates[reading_name(pattern)] for _, patterns in DATE_SHAPES for pattern in patterns])
+
+
 def parse_order_date(c) -> Column:
     """Date from five text formats; a slash date is read month first, then day first.
 

@@ -25,9 +25,10 @@ def _typed(column: str) -> Column:
     return clean.clean_string(column)
 
 
-def sales_columns(df: DataFrame) -> list[Column]:
-    """The columns of the sales fact, typed from the text columns that there are."""
-    return [(_typed(c) if c in df.columns else F.lit(None)).cast(sales_type(c)).alias(c) for c in SALES_COLUMNS]
+def sales_columns(df: DataFrame, known: dict[str, Column] = None) -> list[Column]:
+    """The columns of the sales fact, typed from the text columns that there are; ``known`` has those that are typed already."""
+    typed = lambda c: known[c] if c in (known or {}) else _typed(c)
+    return [(typed(c) if c in df.columns else F.lit(None)).cast(sales_type(c)).alias(c) for c in SALES_COLUMNS]
 
 
 def transform_sales(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.clean import coerce_money, is_blank, parse_order_date, DATE_SHAPES
+from basketry.functions.clean import coerce_money, date_readings, first_reading, is_blank, reading_name, DATE_SHAPES
 from basketry.schemas import REQUIRED_AGGREGATE_COLUMNS
 
 
@@ -155,12 +155,14 @@ def load_profile(df: DataFrame) -> DataFrame:
     return df.agg(*profile_metrics(df.columns))
 
 
-def date_format_metrics(c: str = "orderDate") -> list[Column]:
+def date_format_metrics(c: str = "orderDate", dates=None) -> list[Column]:
+    """Counts of what each pattern parses by itself, and of what parses at all. ``dates`` is a column with the struct of
+    ``date_readings``, if there is one."""
+    dates = date_readings(c) if dates is None else dates
     counts = [
-        F.count_if(F.when(F.col(c).rlike(shape), F.try_to_date(F.col(c), pattern)).isNotNull())
-        .alias("fmt_" + pattern.replace("-", "_dash_").replace("/", "_slash_"))
-        for shape, patterns in DATE_SHAPES for pattern in patterns]
-    return [F.count(c).alias("not_null"), *counts, F.count(parse_order_date(c)).alias("parsed")]
+        F.count(dates[reading_name(pattern)]).alias(f"fmt_{reading_name(pattern)}")
+        for _, patterns in DATE_SHAPES for pattern in patterns]
+    return [F.count(c).alias("not_null"), *counts, F.count(first_reading(dates)).alias("parsed")]
 
 
 def date_format_profile(df: DataFrame, c: str = "orderDate") -> DataFrame:

@@ -2,14 +2,18 @@
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from basketry.functions.clean import date_readings, first_reading
 from basketry.operators import aggregates, validate
 from basketry.operators.delivery import etl_rows_loaded
-from basketry.operators.staging import scratch_path, stage
+from basketry.operators.staging import drop_scratch, scratch_path, shuffles_dropped, stage
 from basketry.operators.transform import sales_columns
 from basketry.schemas import REQUIRED_SALES_COLUMNS, SALES_COLUMNS
 from basketry.sinks.tables import fingerprint_metrics, load_fingerprint, overwrite_aggregates, overwrite_dates, overwrite_load
 
 
+DATES = "__dates"
+
+
 def aggregate_tables(lines: DataFrame) -> dict[str, DataFrame]:
     return {
         "brand_sales": aggregates.brand_sales(lines), "store_sales": aggregates.store_sales(lines),
@@ -20,26 +24,26 @@ def _one_row(spark: SparkSession, counts: dict) -> DataFrame:
     return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
 
 
-def land(raw: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, dict]]:
+def land(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, dict]]:
     """(typed sales, rejected rows, counts) of raw text that is read once.
 
-    The pass that writes typed and rejected rows to the shared folder also observes the counts: fingerprint,
-    validation, date formats and nulls.
+    The pass that writes typed and rejected rows to ``path`` in the shared folder also observes the counts: fingerprint,
+    validation, date formats and nulls. Dates are parsed once, for the counts and the rows.
     """
     spark = raw.sparkSession
     seen = {name: Observation() for name in ("fingerprint", "validation", "dates", "profile")}
     text = raw.observe(seen["fingerprint"], *fingerprint_metrics(raw.columns))
     text = text.observe(seen["validation"], *validate.validation_metrics(raw))
-    text = text.observe(seen["dates"], *validate.date_format_metrics())
+    text = text.withColumn(DATES, date_readings("orderDate"))
+    text = text.observe(seen["dates"], *validate.date_format_metrics(dates=F.col(DATES)))
     failed = validate.failed_rules(raw)
     as_text = [(F.col(c) if c in raw.columns else F.lit(None)).cast("string").alias(c) for c in SALES_COLUMNS]
     rows = text.select(
-        failed.alias("failed_rules"), F.struct(*sales_columns(raw)).alias("sale"),
+        failed.alias("failed_rules"), F.struct(*sales_columns(raw, {"orderDate": first_reading(F.col(DATES))})).alias("sale"),
         F.when(F.size(failed) > 0, F.struct(*as_text)).alias("rejected"))
     valid = F.size("failed_rules") == 0
     rows = rows.observe(seen["profile"], *validate.profile_metrics(SALES_COLUMNS, lambda c: F.col(f"sale.{c}"), valid))
-    path = scratch_path(spark, "landed")
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     landed = spark.read.schema(rows.schema).parquet(path)
     counts = {name: observation.get for name, observation in seen.items()}
     return landed.where(valid).select("sale.*"), landed.where(~valid).select("failed_rules", "rejected.*"), counts
@@ -52,11 +56,19 @@ def load_sales(spark: SparkSession, raw: DataFrame, root: str, excluded_store: s
     date (undated_data), rows that fail a rule (rejected_data), the validation counts (load_validation), the null
     counts (load_profile) and the date formats (load_date_formats) are kept apart for each load. ``load_id`` names the
     source; without one it is made of the rows, so the same load again replaces only its own rows and gives the same
-    tables. The raw text is read once.
+    tables. The raw text is read once. The landed rows and all shuffles go when they have been used.
     """
     validate.require_columns(raw, REQUIRED_SALES_COLUMNS)
-    root = root.rstrip("/")
-    typed, rejected, counts = land(raw)
+    root, landed = root.rstrip("/"), scratch_path(spark, "landed")
+    with shuffles_dropped(spark):
+        try:
+            return _load(spark, raw, root, landed, excluded_store, load_id)
+        finally:
+            drop_scratch(spark, landed)
+
+
+def _load(spark: SparkSession, raw: DataFrame, root: str, landed: str, excluded_store: str, load_id: str) -> DataFrame:
+    typed, rejected, counts = land(raw, landed)
     load_id = load_id or load_fingerprint(counts["fingerprint"])
     dates = stage(aggregates.dates_in_load(typed))
     validate.guard_not_empty(dates, "dated sales")

@@ -9,19 +9,17 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.operators.aggregates import dates_in_load
-from basketry.operators.staging import stage
 
 
-def overwrite_dates(df: DataFrame, path: str, date_col: str = "orderDate") -> None:
+def overwrite_dates(df: DataFrame, path: str, date_col: str = "orderDate", rebalance: bool = True) -> None:
     """Replace the partitions of the dates in ``df``. Rows without a date form one partition, so a table of
     several loads keeps its undated rows apart with ``overwrite_load``.
 
     The rebalance hint gives each day few, evenly sized files; a day that holds much of the data is
-    split over several tasks.
+    split over several tasks. Rows that lie by date already need none, and are not shuffled.
     """
-    (df.hint("rebalance", F.col(date_col)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    rows = df.hint("rebalance", F.col(date_col)) if rebalance else df
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
 
 
 def fingerprint_metrics(columns) -> list[Column]:
@@ -35,16 +33,17 @@ def load_fingerprint(found) -> str:
 
 
 def overwrite_load(df: DataFrame, path: str, load_id: str) -> DataFrame:
-    """Replace the rows that one load wrote to ``path``; other loads keep theirs. Returns the staged rows.
+    """Replace the rows that one load wrote to ``path``; other loads keep theirs. Returns the stored rows.
 
-    A load without rows leaves none of an earlier run of the same load.
+    The rows are one partition, so they are written as they come. A load without rows leaves none of an earlier run of
+    the same load.
     """
-    df = stage(df.withColumn("load_id", F.lit(load_id)))
+    spark, df = df.sparkSession, df.withColumn("load_id", F.lit(load_id))
     if df.isEmpty():
-        clear_partitions(df.sparkSession, path, "load_id", df.sparkSession.range(1).select(F.lit(load_id)))
-    else:
-        overwrite_dates(df, path, "load_id")
-    return df
+        clear_partitions(spark, path, "load_id", spark.range(1).select(F.lit(load_id)))
+        return spark.createDataFrame([], df.schema)
+    overwrite_dates(df, path, "load_id", rebalance=False)
+    return spark.read.schema(df.schema).parquet(path).where(F.col("load_id") == load_id)
 
 
 def _existing(spark, path: str):
@@ -87,19 +86,31 @@ def clear_partitions(spark, path: str, column: str, values: DataFrame) -> int:
     return cleared
 
 
+def _files_of(spark, path: str, column: str, values) -> dict[str, set]:
+    """Value -> names of the files in its folder, for the values that have a folder."""
+    found = {}
+    for value in values:
+        files, location = _existing(spark, f"{path}/{column}={value}")
+        if files.exists(location):
+            found[value] = {f.getPath().getName() for f in files.listStatus(location)}
+    return found
+
+
 def overwrite_aggregates(aggregates: dict[str, DataFrame], root: str, dates: DataFrame, date_col: str = "orderdate") -> None:
     """Replace the loaded dates in every aggregate table.
 
-    Dynamic overwrite keeps a partition that gets no new rows, so after the write the loaded dates
-    that an aggregate no longer has are dropped. Each aggregate is staged, so that the lines behind it are
-    read once for both steps.
+    Dynamic overwrite keeps a partition that gets no new rows, so after the write the loaded dates that an aggregate
+    no longer has are dropped: those whose folder holds the files of before. New files have new names.
     """
+    days = [str(day) for (day,) in dates.toLocalIterator()]
     for name, df in aggregates.items():
-        df = stage(df)
         path = f"{root.rstrip('/')}/{name}"
+        before = _files_of(df.sparkSession, path, date_col, days)
         overwrite_dates(df, path, date_col)
-        gone = dates.toDF(date_col).join(df.select(date_col).distinct(), date_col, "left_anti")
-        clear_partitions(df.sparkSession, path, date_col, gone)
+        after = _files_of(df.sparkSession, path, date_col, before)
+        gone = [(day,) for day in before if after.get(day) == before[day]]
+        if gone:
+            clear_partitions(df.sparkSession, path, date_col, df.sparkSession.createDataFrame(gone, "day string"))
 
 
 def merge_snapshot(existing: DataFrame, incoming: DataFrame, keys, period_col: str) -> DataFrame:

@@ -4,6 +4,7 @@ import base64
 import contextlib
 import datetime as dt
 import gzip
+import pathlib
 import random
 
 import pytest
@@ -248,6 +249,28 @@ def test_stored_renames_rewrite_only_the_days_that_change(spark, sf_dir, tmp_pat
     assert rename_stored(spark, root, [(old, "new name")]).count() == 0
 
 
+def test_loads_and_renames_leave_no_working_files(spark, sf_dir, tmp_path):
+    """Landed rows and shuffles go when they have been used, and renamed days are written without a shuffle of their rows."""
+    from basketry.plans.rename_stored import rename_stored
+
+    root, env = str(tmp_path), spark.sparkContext._jvm.org.apache.spark.SparkEnv
+    landed = lambda: set(pathlib.Path(spark.conf.get("spark.checkpoint.dir")).glob("basketry-landed-*"))
+    shuffles = lambda: {f for f in env.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    rows_moved = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = landed(), shuffles()
+    daily_load.load_sales(spark, star.raw_sales(spark, sf_dir), root)
+    facts = spark.read.parquet(f"{root}/billing_data")
+    old = facts.where("productName is not null").groupBy("productName").count().orderBy("count", "productName").first()[0]
+    days, size = facts.where(F.col("productName") == old).select("orderDate").distinct().count(), facts.count()
+    moved = rows_moved()
+    assert rename_stored(spark, root, [(old, "new name")]).count() == days
+    moved = rows_moved() - moved
+    spark.catalog.clearCache()
+    assert spark.read.parquet(f"{root}/billing_data").count() == size
+    assert landed() <= before[0] and len(shuffles() - before[1]) < 30
+    assert moved < 25 * size
+
+
 def test_loads_keep_the_undated_rows_of_others(spark, tmp_path):
     fields = "invoice string, orderDate string, quantity string, totalProductPrice string, storeName string, brandName string, subCategoryOf string, productName string, productId string, orderType string"
     load = lambda n: spark.createDataFrame([(f"{n}{i}", day, "1", "2.5", "S", "b", "c", "p", "7", "online") for i, day in enumerate(("2024-01-0" + n, "soon", ""))], fields)
