@@ -52,10 +52,13 @@ def _any_rule(df: DataFrame) -> Column:
     return failed
 
 
-def validation_metrics(df: DataFrame) -> list[Column]:
-    """Total, dropped and remaining rows and the flagged count of each rule, as aggregates."""
+def validation_metrics(df: DataFrame, failed: Column = None) -> list[Column]:
+    """Total, dropped and remaining rows and the flagged count of each rule, as aggregates. ``failed`` is a column with the
+    names of ``failed_rules``, if there is one."""
     rules = active_rules(df)
     bad = _any_rule(df)
+    if failed is not None:
+        rules, bad = {name: F.array_contains(failed, name) for name in rules}, F.size(failed) > 0
     return [
         F.count("*").alias("total_rows"),
         F.count_if(bad).alias("dropped_rows"),

@@ -11,7 +11,7 @@ from basketry.schemas import REQUIRED_SALES_COLUMNS, SALES_COLUMNS
 from basketry.sinks.tables import fingerprint_metrics, load_fingerprint, overwrite_aggregates, overwrite_dates, overwrite_load
 
 
-DATES = "__dates"
+DATES, FAILED = "__dates", "__failed"
 
 
 def aggregate_tables(lines: DataFrame) -> dict[str, DataFrame]:
@@ -28,24 +28,28 @@ def land(raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, dic
     """(typed sales, rejected rows, counts) of raw text that is read once.
 
     The pass that writes typed and rejected rows to ``path`` in the shared folder also observes the counts: fingerprint,
-    validation, date formats and nulls. Dates are parsed once, for the counts and the rows.
+    validation, date formats and nulls. Rules and dates are read once a row, for the counts and the rows, and nulls are
+    counted in the columns that there are.
     """
     spark = raw.sparkSession
     seen = {name: Observation() for name in ("fingerprint", "validation", "dates", "profile")}
     text = raw.observe(seen["fingerprint"], *fingerprint_metrics(raw.columns))
-    text = text.observe(seen["validation"], *validate.validation_metrics(raw))
-    text = text.withColumn(DATES, date_readings("orderDate"))
+    text = text.withColumns({FAILED: validate.failed_rules(raw), DATES: date_readings("orderDate")})
+    text = text.observe(seen["validation"], *validate.validation_metrics(raw, F.col(FAILED)))
     text = text.observe(seen["dates"], *validate.date_format_metrics(dates=F.col(DATES)))
-    failed = validate.failed_rules(raw)
     as_text = [(F.col(c) if c in raw.columns else F.lit(None)).cast("string").alias(c) for c in SALES_COLUMNS]
     rows = text.select(
-        failed.alias("failed_rules"), F.struct(*sales_columns(raw, {"orderDate": first_reading(F.col(DATES))})).alias("sale"),
-        F.when(F.size(failed) > 0, F.struct(*as_text)).alias("rejected"))
+        F.col(FAILED).alias("failed_rules"), F.struct(*sales_columns(raw, {"orderDate": first_reading(F.col(DATES))})).alias("sale"),
+        F.when(F.size(FAILED) > 0, F.struct(*as_text)).alias("rejected"))
     valid = F.size("failed_rules") == 0
-    rows = rows.observe(seen["profile"], *validate.profile_metrics(SALES_COLUMNS, lambda c: F.col(f"sale.{c}"), valid))
+    there = [c for c in SALES_COLUMNS if c in raw.columns]
+    rows = rows.observe(seen["profile"], *validate.profile_metrics(there, lambda c: F.col(f"sale.{c}"), valid))
     rows.write.option("compression", "zstd").parquet(path)
     landed = spark.read.schema(rows.schema).parquet(path)
     counts = {name: observation.get for name, observation in seen.items()}
+    profile = counts["profile"]
+    for c in SALES_COLUMNS:  # in this order; all rows lack a column that isn't there
+        profile[f"null_{c}"] = profile.pop(f"null_{c}", profile["total_rows"])
     return landed.where(valid).select("sale.*"), landed.where(~valid).select("failed_rules", "rejected.*"), counts
 
 

@@ -23,13 +23,16 @@ def overwrite_dates(df: DataFrame, path: str, date_col: str = "orderDate", rebal
 
 
 def fingerprint_metrics(columns) -> list[Column]:
-    """Aggregates behind ``load_fingerprint``."""
-    return [F.count("*").alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("digest")]
+    """Aggregates behind ``load_fingerprint``: the sum of the rows' hashes, in three parts that stay within 64 bits."""
+    h = F.xxhash64(*columns)
+    parts = {"high": F.shiftright(h, 40), "middle": F.shiftright(h, 20).bitwiseAND(F.lit(0xFFFFF)), "low": h.bitwiseAND(F.lit(0xFFFFF))}
+    return [F.count("*").alias("n"), *[F.sum(part.cast("long")).alias(name) for name, part in parts.items()]]
 
 
 def load_fingerprint(found) -> str:
     """A key of the rows themselves, the same for the same rows in any order, from their ``fingerprint_metrics``."""
-    return f"load_{found['n']}_{found['digest'] or 0}"
+    high, middle, low = (found[name] or 0 for name in ("high", "middle", "low"))
+    return f"load_{found['n']}_{(high << 40) + (middle << 20) + low}"
 
 
 def overwrite_load(df: DataFrame, path: str, load_id: str) -> DataFrame:

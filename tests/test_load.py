@@ -209,6 +209,22 @@ def test_the_load_reads_the_raw_text_once(spark, sf_dir, tmp_path):
     assert stored("load_profile") == validate.load_profile(transform.transform_sales(validate.drop_invalid(raw))).first().asDict()
 
 
+def test_three_loads_build_the_raw_lines_once(spark, sf_dir, monkeypatch):
+    from basketry.plans import catalog
+
+    raw, read = star.raw_sales(spark, sf_dir), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    n = raw.count()
+    monkeypatch.setattr(star, "raw_sales", lambda s, d: raw.mapInArrow(counted, raw.schema))
+    rows = {r["table_name"]: r["row_count"] for r in catalog.queries()["daily_load"](spark, sf_dir).collect()}
+    assert read.value == n == rows["billing_data"] + rows["undated_data"] + rows["rejected_data"]
+
+
 def test_dashboard_opens_only_the_days_it_compares(spark, sf_dir, tmp_path):
     root = str(tmp_path)
     daily_load.load_sales(spark, star.raw_sales(spark, sf_dir), root)
